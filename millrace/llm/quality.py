@@ -4,8 +4,9 @@ Each rule bounds one ratio of a text.  The table, not code, holds the rules; it
 becomes a single expression of built-in functions, with no user function.
 
 Defined cases: a null text counts as empty; an empty text has no words and
-fails the base rule; extra columns are kept as they are, and the operator's
-working names never leave the projection; ties don't arise.
+fails the base rule; every row is judged by itself, so repeated rows and ties
+agree and an empty table stays empty; extra columns travel inside ``row``, where
+their names meet none of the operator's.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ def verdict(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def quality_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All columns of ``df`` and a struct ``quality``: measures, broken, base_failed, kept."""
+    """``row``, the input row as a struct, and a struct ``quality``: measures, broken, base_failed, kept."""
     built = measures(F.col(f"`{text}`"))
 
     def judged(m: Column) -> Column:
@@ -123,20 +124,20 @@ def quality_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
         broken = verdict(m, rules)
         return F.struct(m.alias("measures"), broken.alias("broken"), base.alias("base_failed"), (~base & (F.size(broken) == 0)).alias("kept"))
 
-    return df.select("*", _let(built, judged).alias("quality"))
+    return df.select(F.struct("*").alias("row"), _let(built, judged).alias("quality"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures, the base rule and the verdict of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    q = quality_rules(docs).select("doc_id", "quality")
+    q = quality_rules(docs)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return q.select("doc_id", *(F.col(f"quality.measures.{n}").alias(n) for n in names), F.col("quality.base_failed").alias("base_failed"), F.col("quality.kept").alias("kept"))
+    return q.select("row.doc_id", *(F.col(f"quality.measures.{n}").alias(n) for n in names), F.col("quality.base_failed").alias("base_failed"), F.col("quality.kept").alias("kept"))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules keep, with their columns."""
-    return quality_rules(docs.select("*")).filter("quality.kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return quality_rules(docs).filter("quality.kept").select("row.*")
 
 
 def sql(rules: tuple[Rule, ...] = RULES) -> str:
