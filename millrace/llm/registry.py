@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import quality
+from millrace.llm import decontaminate, packing, quality, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_quality_rules": quality.op6_quality_rules}
+    return {
+        "op2_sharding": sharding.op2_sharding,
+        "op6_quality_rules": quality.op6_quality_rules,
+        "op7_best_fit_packing": packing.op7_best_fit_packing,
+        "op8_decontaminate": decontaminate.op8_decontaminate,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": quality.sql()}
+    return {"op6_quality_rules": quality.sql(), "op8_decontaminate": decontaminate.SQL}
