@@ -8,7 +8,8 @@ capacity, reaches the driver.  There
 2. the cutting-stock program over these few sizes is solved by column
    generation: a revised simplex with a knapsack for the next configuration;
 3. each configuration, taken its rounded-down number of times, is filled with
-   actual pieces of its groups, which leaves gaps;
+   actual pieces of its groups, all but its smallest member: rounding leaves more
+   room there than that member took, and step 4 finds the piece that uses it;
 4. the other large pieces and the small ones go, longest first, where they fit
    best, and new sequences open only for what fits nowhere.
 
@@ -43,9 +44,9 @@ from millrace.llm.scratch import keep
 
 CAPACITY = 2048
 #: Groups of large lengths.
-GROUPS = 48
+GROUPS = 24
 #: Lengths over this share of the capacity are large.
-LARGE = 1 / 16
+LARGE = 1 / 4
 END = 0
 
 Run = tuple[int, int, int, int, int]  # length, first rank, last rank + 1, first sequence, pieces a sequence
@@ -171,7 +172,6 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     gaps, total = _Gaps(), histogram.get(capacity, 0)
     if total:
         runs.append((capacity, 0, total, 0, 1))
-    at = {length: 0 for length in histogram}
     big = sorted((x for x in histogram if capacity * large < x < capacity), reverse=True)
     n_big = sum(histogram[x] for x in big)
     if n_big:
@@ -194,8 +194,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
         sizes = list(by_size)
         for config, times in configurations(sizes, [sum(x[2] for x in by_size[s]) for s in sizes], capacity):
             edges, slots = {0, times}, []
-            for s, copies in zip(sizes, config.tolist(), strict=True):
-                for _ in range(copies):
+            smallest = int(np.flatnonzero(config)[-1])
+            for i, (s, copies) in enumerate(zip(sizes, config.tolist(), strict=True)):
+                for _ in range(copies - (i == smallest)):
                     slot, filled = [], 0
                     while filled < times and by_size[s]:
                         head = by_size[s][0]
@@ -235,7 +236,6 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
                 gaps.add(space - left * length, first, 1)
                 left, first, count = 0, first + 1, count - 1
             gaps.add(space, first, count)
-    del at
     return runs, total
 
 
