@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, packing, quality, sharding
+from millrace.llm import decontaminate, near_dedup, packing, quality, sharding, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sharding": sharding.op2_sharding,
+        "op3_substring_dedup": substring_dedup.op3_substring_dedup,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
         "op8_decontaminate": decontaminate.op8_decontaminate,
+        "op9_minhash_dedup": near_dedup.op9_minhash_dedup,
     }
 
 

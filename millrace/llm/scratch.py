@@ -23,13 +23,23 @@ def folder(spark: SparkSession) -> str:
     return named
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back: later jobs start from the files."""
+def _write(df: DataFrame, name: str) -> tuple[str, DataFrame]:
     spark = df.sparkSession
     path = f"{folder(spark).rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; ``drop`` leaves it."""
+    return _write(df, name)[1]
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """As ``store``, until ``drop``: a cut of the lineage."""
+    path, out = _write(df, name)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return out
 
 
 def drop(spark: SparkSession) -> None:
