@@ -10,7 +10,7 @@ Texts are cut into segments of bounded size at bytes that are in no word.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -70,13 +70,18 @@ SPACED = Lexer(b" \t\n\x0b\x0c\r", False)
 
 @dataclass
 class Words:
-    """row: index of the text; start, end: byte offsets in that text."""
+    """row: index of the text; start, end: byte offsets in that text.
+
+    prefix: by length in bytes, hashes of the words' beginnings; 0 where the
+    word is no longer than that.
+    """
 
     row: np.ndarray
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     rows: int
+    prefix: dict[int, np.ndarray] = field(default_factory=dict)
 
     def bounds(self) -> np.ndarray:
         """rows + 1 offsets: the words of text i are bounds[i]:bounds[i + 1]."""
@@ -112,8 +117,8 @@ def _segments(lexer: Lexer, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[
         row = last
 
 
-def lex(lexer: Lexer, column: pa.Array) -> Words:
-    """The words of a string column."""
+def lex(lexer: Lexer, column: pa.Array, prefixes: tuple[int, ...] = ()) -> Words:
+    """The words of a string column, with the hashes of some prefixes."""
     data, at = raw(column)
     parts: list[tuple[np.ndarray, ...]] = []
     for row, last, lo, hi in _segments(lexer, data, at):
@@ -133,13 +138,16 @@ def lex(lexer: Lexer, column: pa.Array) -> Words:
         s, e = np.flatnonzero(start), np.flatnonzero(stop) + 1
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(lexer.values[piece] * _power(_BASE, n), out=sums[1:])
-        h = mix((sums[e] - sums[s]) * _power(_INVERSE, n)[s] + (e - s).astype(np.uint64))
+        scale = _power(_INVERSE, n)[s]
+        h = mix((sums[e] - sums[s]) * scale + (e - s).astype(np.uint64))
+        heads = [np.where(e - s > k, mix((sums[np.minimum(s + k, n)] - sums[s]) * scale + np.uint64(k + (1 << 40))), np.uint64(0)) for k in prefixes]
         owner = np.searchsorted(at[row : last + 1], s + lo, "right") - 1 + row
-        parts.append((owner, s + lo - at[owner], e + lo - at[owner], h))
+        parts.append((owner, s + lo - at[owner], e + lo - at[owner], h, *heads))
     if not parts:
         zero = np.zeros(0, np.int64)
-        return Words(zero, zero, zero, np.zeros(0, np.uint64), len(at) - 1)
-    return Words(*(np.concatenate(x) for x in zip(*parts, strict=True)), rows=len(at) - 1)
+        return Words(zero, zero, zero, np.zeros(0, np.uint64), len(at) - 1, {k: np.zeros(0, np.uint64) for k in prefixes})
+    row, first, last, h, *heads = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return Words(row, first, last, h, len(at) - 1, dict(zip(prefixes, heads, strict=True)))
 
 
 def windows(row: np.ndarray, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
