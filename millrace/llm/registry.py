@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, near_dedup, packing, quality, sharding, substring_dedup
+from millrace.llm import decontaminate, html_extract, license_scan, lm_score, near_dedup, packing, quality, sharding, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_sharding": sharding.op2_sharding,
         "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+        "op4_lm_scoring": lm_score.op4_lm_scoring,
+        "op5_html_extract": html_extract.op5_html_extract,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_minhash_dedup": near_dedup.op9_minhash_dedup,
+        "op10_license_scan": license_scan.op10_license_scan,
     }
 
 
