@@ -198,9 +198,12 @@ class Scanner:
                 for i in start.tolist():
                     if i < done:
                         continue
-                    hi = min(i + width, int(bounds[words.row[i] + 1]))
-                    body = at[i:hi].tolist()
-                    pairs = compact(patience(body, own), body, own)
+                    while True:
+                        body = at[i : min(i + width, int(bounds[words.row[i] + 1]))].tolist()
+                        pairs = compact(patience(body, own), body, own)
+                        if len(pairs) < least or not pairs[0][0]:
+                            break
+                        i += pairs[0][0]  # the window starts where the match does, so its end isn't cut off
                     if len(pairs) < least:
                         continue
                     lo, end = i + pairs[0][0], i + pairs[-1][0] + 1
