@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import decontaminate, near_dedup, packing, quality, scratch, substring_dedup
 
 
+_kept: list[str] = []
+
+
 def _stage(f):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        scratch.drop(spark)  # ``docs`` is written, so what earlier stages kept is not needed
-        return f(spark, docs, sf_dir)
+        scratch.drop(spark, _kept)  # ``docs`` is written, so what the stage before kept is not needed
+        marked = scratch.mark()
+        out = f(spark, docs, sf_dir)
+        _kept[:] = scratch.since(marked)
+        return out
 
     return run_stage
 

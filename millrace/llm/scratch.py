@@ -42,9 +42,19 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def drop(spark: SparkSession) -> None:
-    """Delete what ``keep`` wrote; only for callers whose results are written."""
+def mark() -> int:
+    """How much ``keep`` has written so far, for ``since``."""
+    return len(_written)
+
+
+def since(marked: int) -> list[str]:
+    """The paths that ``keep`` wrote after a mark."""
+    return _written[marked:]
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete kept tables; only for callers whose results are written elsewhere."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
