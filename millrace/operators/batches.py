@@ -76,8 +76,6 @@ def _in_order(rows: DataFrame, t: cascade.Thresholds, remaining: int) -> DataFra
     A row that one rule drops counts for no other, so the rules don't split into
     windows; a batch is of bounded size and one task takes it.
     """
-    schema = rows.drop("_had").schema
-
     def fold(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("ord").reset_index(drop=True)
         sha1, dhash, pages, taken, out = set(), set(), {}, 0, []
@@ -95,7 +93,7 @@ def _in_order(rows: DataFrame, t: cascade.Thresholds, remaining: int) -> DataFra
                     verdict = "quota_dropped"
                 elif not r.ocr_ok:
                     verdict = "no_digits_or_too_long"
-                elif not (r.w and r.h and r.w > 0 and r.h > 0):
+                elif not r.sized:
                     verdict = "normalize_failed"
                 else:
                     sha1.add(r.sha1)
@@ -103,9 +101,11 @@ def _in_order(rows: DataFrame, t: cascade.Thresholds, remaining: int) -> DataFra
                     pages[r.page_url] = page + 1
                     taken += 1
             out.append(verdict)
-        return batch.drop(columns="_had").assign(disposition=out)
+        return pd.DataFrame({"_ord": batch.ord, "_verdict": out})
 
-    return rows.groupBy(F.lit(1)).applyInPandas(fold, schema)
+    small = rows.select("ord", "disposition", "page_url", "sha1", "dhash", F.col("_had").cast("long").alias("_had"), "ocr_ok", _has_size().alias("sized"))
+    verdicts = small.groupBy().applyInPandas(fold, "_ord long, _verdict string")
+    return rows.join(verdicts, F.col("ord") == F.col("_ord")).withColumn("disposition", F.col("_verdict")).drop("_had", "_ord", "_verdict")
 
 
 def run(spark: SparkSession, candidates: DataFrame, known_sha1: DataFrame, t: cascade.Thresholds = cascade.Thresholds(), limits: Limits = Limits(), mode: str = "snapshot", near: str = "exact", state: str | None = None) -> DataFrame:
