@@ -1,7 +1,9 @@
 """Repeated passages by collinear chaining of shared k-mer seeds.
 
 1. Seeds: of every 16 adjacent 8-word k-mers of a text the lowest hash
-   (minimizers), so any 23 shared words share a seed, wherever they stand.
+   (minimizers), so any 23 shared words share a seed, wherever they stand.  Of
+   equal hashes one in 16 places is taken, and a seed that comes again within a
+   few words is numbered, so a periodic text matches another in order.
 2. Join: a seed that several documents hold is matched to its first document,
    the one of the lowest id, so matches grow with the seeds and not with pairs.
 3. Chain: the matches of a document with another are points (x, y).  A chain's
@@ -36,7 +38,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.decontaminate import merged
 from millrace.llm.scratch import keep
-from millrace.llm.words import ALNUM, lex, parts, windows
+from millrace.llm.words import ALNUM, lex, mix, parts, windows
 
 K = 8
 WINDOW = 16
@@ -61,6 +63,8 @@ def minimizers(row: np.ndarray, h: np.ndarray, k: int = K, window: int = WINDOW)
     owner = row[at]
     first = np.ones(len(g), bool)
     first[1:] = owner[1:] != owner[:-1]
+    local = np.arange(len(g)) - np.maximum.accumulate(np.where(first, np.arange(len(g)), 0))
+    kmer, g = g, (g & ~np.uint64(255)) | (local % window).astype(np.uint64)  # places decide between equal hashes
     slot = np.arange(len(g)) + (np.cumsum(first) - 1) * (window - 1)
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
     low = np.full(slot[-1] + window, top, np.uint64)
@@ -82,7 +86,17 @@ def minimizers(row: np.ndarray, h: np.ndarray, k: int = K, window: int = WINDOW)
         best[step:] = np.maximum(best[step:], best[:-step].copy())
         span += step
     chosen = best[slot] == g
-    return g[chosen], at[chosen]
+    return kmer[chosen], at[chosen]
+
+
+def numbered(row: np.ndarray, h: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, hash): seeds by text, hash and place, with their number in a run of close equal ones."""
+    order = np.lexsort((pos, h, row))
+    r, g, p = row[order], h[order], pos[order]
+    again = np.zeros(len(g), bool)
+    again[1:] = (g[1:] == g[:-1]) & (r[1:] == r[:-1]) & (p[1:] - p[:-1] <= MAX_GAP)
+    number = np.arange(len(g)) - np.maximum.accumulate(np.where(again, 0, np.arange(len(g))))
+    return order, mix(g + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,10 +106,12 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, at = minimizers(words.row, words.hash)
             row = words.row[at]
             pos = at - words.bounds()[row]
+            order, h = numbered(row, h, pos)
+            row, pos = row[order], pos[order]
             order = np.lexsort((pos, h, row))
-            lead = np.ones(len(h), bool)
-            lead[1:] = (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])
             row, h, pos = row[order], h[order], pos[order]
+            lead = np.ones(len(h), bool)
+            lead[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
             ids = batch.column(0).slice(lo, hi - lo).take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids, pa.array(pos.astype(np.int32)), pa.array(lead)], names=["h", "doc", "pos", "lead"])
 
@@ -194,20 +210,26 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word hashes lo - REACH to hi + REACH of the text, as 32 bits each."""
+    """Word hashes lo - REACH to hi + REACH of a document, as 32 bits each."""
     for batch in batches:
-        for a, b in parts(batch.column("text")):
-            part = batch.slice(a, b - a)
-            words = lex(ALNUM, part.column("text"))
+        ids = batch.column("id")
+        fresh = np.ones(len(batch), bool)  # rows of a document follow each other: its text is read once
+        fresh[1:] = pc.not_equal(ids.slice(1), ids.slice(0, len(batch) - 1)).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(fresh)
+        texts = batch.column("text").take(pa.array(at))
+        own = np.cumsum(fresh) - 1
+        lo, hi = batch.column("lo").to_numpy(), batch.column("hi").to_numpy()
+        for a, b in parts(texts):
+            words = lex(ALNUM, texts.slice(a, b - a))
             bounds = words.bounds()
             short = (words.hash >> np.uint64(32)).astype("<u4")
-            lo, hi = part.column("lo").to_numpy(), part.column("hi").to_numpy()
-            out, at = [], []
-            for i in range(b - a):
-                s = max(0, int(lo[i]) - REACH)
-                at.append(s)
-                out.append(short[bounds[i] + s : min(bounds[i + 1], bounds[i] + int(hi[i]) + REACH)].tobytes())
-            yield pa.RecordBatch.from_arrays([part.column("chain"), part.column("mine"), pa.array(at, pa.int32()), pa.array(out, pa.binary())], names=["chain", "mine", "at", "words"])
+            rows = np.flatnonzero((own >= a) & (own < b))
+            out = []
+            for i in rows.tolist():
+                first, end = int(bounds[own[i] - a]), int(bounds[own[i] - a + 1])
+                out.append(short[first + max(0, int(lo[i]) - REACH) : min(end, first + int(hi[i]) + REACH)].tobytes())
+            part = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("lo"), part.column("hi"), pa.array(out, pa.binary())], names=["id", "lo", "hi", "words"])
 
 
 def _gap(a: np.ndarray, b: np.ndarray) -> int:
@@ -279,7 +301,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(len(batch)):
             a = np.frombuffer(columns["awords"][i].as_py(), "<u4")
             b = np.frombuffer(columns["bwords"][i].as_py(), "<u4")
-            sa, sb = columns["aat"][i].as_py(), columns["bat"][i].as_py()
+            sa, sb = max(0, columns["lo"][i].as_py() - REACH), max(0, columns["olo"][i].as_py() - REACH)
             flat = columns["anchors"][i].as_py()
             found = align(a, b, [(x - sa, y - sb) for x, y in zip(flat[::2], flat[1::2], strict=True)])
             if found and found[1] - found[0] >= MIN_SPAN:
@@ -320,16 +342,16 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     hits = seeds.join(first, F.col("h") == F.col("_h")).filter("doc <> other").select("doc", F.struct("pos", "other", "opos").alias("m"))
     lists = hits.groupBy("doc").agg(F.collect_set("m").alias("m"))  # a document's own seeds bound its list
     schema = f"doc {kind}, other {kind}, lo int, hi int, olo int, ohi int, anchors array<int>"
-    found = keep(lists.mapInArrow(_chained, schema).withColumn("chain", F.expr("uuid()")), "chains")
-    asked = found.select(F.col("doc").alias("_id"), "chain", F.lit(True).alias("mine"), "lo", "hi").union(
-        found.select(F.col("other").alias("_id"), "chain", F.lit(False), F.col("olo"), F.col("ohi"))
-    )
-    joined = asked.join(docs, F.col("_id") == F.col("id")).select("chain", "mine", "lo", "hi", "text")
-    slices = keep(joined.mapInArrow(_sliced, "chain string, mine boolean, at int, words binary"), "slices")
-    a = slices.filter("mine").select("chain", F.col("at").alias("aat"), F.col("words").alias("awords"))
-    b = slices.filter("NOT mine").select(F.col("chain").alias("_b"), F.col("at").alias("bat"), F.col("words").alias("bwords"))
-    both = found.select("chain", "doc", "other", "anchors").withColumnRenamed("chain", "_c").join(a, F.col("_c") == F.col("chain")).join(b, F.col("_c") == F.col("_b"))
-    both = both.select("doc", "other", "anchors", "aat", "awords", "bat", "bwords")
+    found = keep(lists.mapInArrow(_chained, schema), "chains")
+    asked = found.select(F.col("doc").alias("_id"), "lo", "hi").union(found.select("other", "olo", "ohi")).distinct()
+    joined = asked.join(docs, F.col("_id") == F.col("id")).select("id", "lo", "hi", "text").sortWithinPartitions("id")
+    slices = keep(joined.mapInArrow(_sliced, f"id {kind}, lo int, hi int, words binary"), "slices")
+    a = slices.select(F.col("id").alias("_a"), F.col("lo").alias("_alo"), F.col("hi").alias("_ahi"), F.col("words").alias("awords"))
+    b = slices.select(F.col("id").alias("_b"), F.col("lo").alias("_blo"), F.col("hi").alias("_bhi"), F.col("words").alias("bwords"))
+    both = found.select("doc", "other", "anchors", "lo", "hi", "olo", "ohi")
+    both = both.join(a, (F.col("doc") == F.col("_a")) & (F.col("lo") == F.col("_alo")) & (F.col("hi") == F.col("_ahi")))
+    both = both.join(b, (F.col("other") == F.col("_b")) & (F.col("olo") == F.col("_blo")) & (F.col("ohi") == F.col("_bhi")))
+    both = both.select("doc", "other", "anchors", "lo", "awords", "olo", "bwords")
     schema = f"doc {kind}, other {kind}, first int, last int, matches int"
     spans = both.mapInArrow(_aligned, schema).groupBy("doc").agg(F.collect_set(F.struct("other", "first", "last", "matches")).alias("s"))
     return spans.mapInArrow(_passages, schema)
