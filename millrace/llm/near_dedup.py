@@ -213,5 +213,6 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = keep(classes(docs).filter("doc_id = class_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_n")), "kept")
     once = docs if found.filter("_n > 1").isEmpty() else docs.dropDuplicates(["doc_id"])
-    out = once.join(found, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return out.union(docs.filter(F.col("doc_id").isNull()))
+    rows = once.select(F.struct("*").alias("row"))
+    out = rows.join(found, F.col("row.doc_id") == F.col("_kept"), "left_semi")
+    return out.select("row.*").union(docs.filter(F.col("doc_id").isNull()))

@@ -16,7 +16,8 @@
    spans of a document that touch are one, and from ``MIN_WORDS`` words it counts.
 
 A document's passages that an earlier document also holds are its repeats; the
-earliest holder keeps the passage.
+earliest holder keeps the passage.  Ends are judged against the first holder: a
+word beyond them that only a later holder shares, by chance, stays.
 
 Words are runs of letters and digits, A-Z folded.  Defined cases: null, empty
 and shorter texts have no seeds and no repeats; repeated rows of an id are one
@@ -51,8 +52,8 @@ MIN_SPAN = 16
 MAX_GAP = 64
 #: Words beyond a chain's ends that alignment may claim.
 REACH = K + WINDOW + 8
-#: Cost of a skipped word, in matched words.
-GAP_COST = 0.25
+#: Cost of a skipped word, in matched words; over the longest gap less than a seed is worth.
+GAP_COST = 0.05
 
 
 def minimizers(row: np.ndarray, h: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
