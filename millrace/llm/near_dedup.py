@@ -147,7 +147,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, least: float) -> DataF
     """Of pairs (u, v) those that are similar enough.  texts: (id, text)."""
     u = texts.select(F.col("id").alias("_u"), F.col("text").alias("ut"))
     v = texts.select(F.col("id").alias("_v"), F.col("text").alias("vt"))
-    both = pairs.join(u, F.col("u") == F.col("_u")).select("u", "v", "ut").join(v, F.col("v") == F.col("_v"))
+    both = pairs.hint("merge").join(u, F.col("u") == F.col("_u")).select("u", "v", "ut").hint("merge").join(v, F.col("v") == F.col("_v"))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +173,8 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     pairs = buckets.filter("rep <> centre").select(F.col("centre").alias("u"), F.col("rep").alias("v")).distinct()
     pairs = keep(pairs, "pairs")
     wanted = buckets.select(F.col("rep").alias("_id")).distinct()
-    texts = keep(docs.join(wanted, F.col("id") == F.col("_id")).select("id", "text"), "texts")
+    # merge joins at every size: else the plan, and what it shuffles, would change with the table's
+    texts = keep(docs.join(wanted.hint("merge"), F.col("id") == F.col("_id")).select("id", "text"), "texts")
     links = keep(_verified(pairs, texts, k, least), "links")
     tried = pairs
     while True:
@@ -214,5 +215,5 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = keep(classes(docs).filter("doc_id = class_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_n")), "kept")
     once = docs if found.filter("_n > 1").isEmpty() else docs.dropDuplicates(["doc_id"])
     rows = once.select(F.struct("*").alias("row"))
-    out = rows.join(found, F.col("row.doc_id") == F.col("_kept"), "left_semi")
+    out = rows.join(found.hint("merge"), F.col("row.doc_id") == F.col("_kept"), "left_semi")
     return out.select("row.*").union(docs.filter(F.col("doc_id").isNull()))

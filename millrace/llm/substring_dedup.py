@@ -340,12 +340,13 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     seeds = docs.mapInArrow(_seeds, f"h bigint, doc {kind}, pos int, lead boolean")
     first = seeds.filter("lead").groupBy("h").agg(F.min("doc").alias("other"), F.min_by("pos", "doc").alias("opos"), F.max("doc").alias("top"))
     first = keep(first.filter("other <> top").select(F.col("h").alias("_h"), "other", "opos"), "first")
-    hits = seeds.join(first, F.col("h") == F.col("_h")).filter("doc <> other").select("doc", F.struct("pos", "other", "opos").alias("m"))
+    # merge joins at every size: else the plan, and what it shuffles, would change with the table's
+    hits = seeds.join(first.hint("merge"), F.col("h") == F.col("_h")).filter("doc <> other").select("doc", F.struct("pos", "other", "opos").alias("m"))
     lists = hits.groupBy("doc").agg(F.collect_set("m").alias("m"))  # a document's own seeds bound its list
     schema = f"doc {kind}, other {kind}, lo int, hi int, olo int, ohi int, anchors array<int>"
     found = keep(lists.mapInArrow(_chained, schema), "chains")
     asked = found.select(F.col("doc").alias("_id"), "lo", "hi").union(found.select("other", "olo", "ohi")).distinct()
-    joined = asked.join(docs, F.col("_id") == F.col("id")).select("id", "lo", "hi", "text").sortWithinPartitions("id")
+    joined = asked.hint("merge").join(docs, F.col("_id") == F.col("id")).select("id", "lo", "hi", "text").sortWithinPartitions("id")
     slices = keep(joined.mapInArrow(_sliced, f"id {kind}, lo int, hi int, words binary"), "slices")
     a = slices.select(F.col("id").alias("_a"), F.col("lo").alias("_alo"), F.col("hi").alias("_ahi"), F.col("words").alias("awords"))
     b = slices.select(F.col("id").alias("_b"), F.col("lo").alias("_blo"), F.col("hi").alias("_bhi"), F.col("words").alias("bwords"))
@@ -370,7 +371,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     spans = keep(spans.withColumnRenamed("doc", "_doc"), "spans")
     names = docs.columns
     field, count = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
-    joined = docs.select(F.struct("*").alias("row")).join(spans, F.col("row.doc_id") == F.col("_doc"), "left").select("row", "_spans")
+    joined = docs.select(F.struct("*").alias("row")).join(spans.hint("merge"), F.col("row.doc_id") == F.col("_doc"), "left").select("row", "_spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
