@@ -16,7 +16,7 @@ of toxic examples among such texts.
 
 Defined cases: null and empty texts have no terms; labels that are null, or
 whose id has no document, are ignored; of repeated labels the highest counts;
-without usable labels every score is 0.5 times nothing known, that is 0.0;
+without usable labels every score is 0.0;
 neighbours of equal cosine enter by their order in the index; repeated rows are
 scored alike; an empty table gives an empty one; extra columns are left out.
 """
@@ -190,7 +190,6 @@ def _monotone(votes: np.ndarray, labels: np.ndarray, share: float) -> tuple[np.n
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame, Model]:
     """Terms, the vectors of all documents, and the model.  docs: (id, text); labels: (id, toxic)."""
-    spark = docs.sparkSession
     usable = labels.filter("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = keep(usable.orderBy(F.xxhash64("id"), "id").limit(EXAMPLES).withColumnRenamed("id", "_id"), "labelled")
     small = F.broadcast(sample)  # at most EXAMPLES rows of two numbers
@@ -209,7 +208,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame, Mode
     idf = np.log((1 + total) / (1 + df)) + 1
     found = vectors.join(small, F.col("id") == F.col("_id")).select("id", "terms", "tf", "toxic").orderBy("id").collect()  # EXAMPLES rows
     examples = [(r.id, np.array(r.terms, np.int64), np.array(r.tf, np.float64), r.toxic) for r in found]
-    del spark
     return terms, vectors, Model(idf, examples)
 
 
