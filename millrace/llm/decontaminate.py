@@ -1,7 +1,7 @@
 """Benchmark decontamination with one FM-index per training shard.
 
 The phrases are the benchmark's windows of 13 words; an item of fewer words, but
-not none, is one phrase.  A shard is an Arrow batch of documents.  Its index is
+not none, is one phrase.  A shard is some megabytes of documents of a partition.  Its index is
 built over words as symbols of the phrases' own vocabulary.  No phrase crosses a
 word outside that vocabulary, so a run of such words is one separator, and runs
 shorter than the shortest phrase are left out: both lose no occurrence.  All
@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.fm_index import FMIndex
-from millrace.llm.words import ALNUM, lex
+from millrace.llm.words import ALNUM, lex, parts
 
 #: Words in a window.
 WINDOW = 13
 #: Bytes of benchmark text that one broadcast slice holds, about.
 SLICE_BYTES = 32 << 20
+#: Bytes of documents that one index is built over, about.
+SHARD_BYTES = 8 << 20
 
 _SPAN = "array<struct<start:bigint,end:bigint>>"
 
@@ -124,6 +126,33 @@ def _slices(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[s
         yield [(r.i, r.t) for r in part.collect()]
 
 
+def _scanned(batch: pa.RecordBatch, field: int, phrases: Phrases, names: list[str]) -> pa.RecordBatch:
+    """A shard with what this slice of the benchmark, and the ones before, have there."""
+    texts = pc.struct_field(batch.column(0), [field])
+    n_words, spans, n_hit, found = phrases.hits(texts)
+    if batch.num_columns > 1:
+        old = batch.column(2).to_pylist()
+        spans = [merged([*a, *((x["start"], x["end"]) for x in b)]) for a, b in zip(spans, old, strict=True)]
+        found = [{*a, *b} for a, b in zip(found, batch.column(4).to_pylist(), strict=True)]
+        words = lex(ALNUM, texts)
+        inside = [0] * len(spans)
+        bounds = words.bounds()
+        for i, own in enumerate(spans):
+            starts = words.start[bounds[i] : bounds[i + 1]]
+            inside[i] = int(sum(np.searchsorted(starts, e) - np.searchsorted(starts, s) for s, e in own))
+        n_hit = np.array(inside, np.int64)
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column(0),
+            pa.array(n_words, pa.int64()),
+            pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+            pa.array(n_hit, pa.int64()),
+            pa.array([sorted(x) for x in found], pa.list_(pa.string())),
+        ],
+        names=names,
+    )
+
+
 def find_contamination(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = WINDOW) -> DataFrame:
     """``row``, the input row as a struct, n_words, spans (merged bytes of hit words), n_hit, items.
 
@@ -137,30 +166,9 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, text: str = "text",
         phrases = spark.sparkContext.broadcast(Phrases(items, n))
 
         def scan(batches: Iterator[pa.RecordBatch], phrases=phrases) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = pc.struct_field(batch.column(0), [field])
-                n_words, spans, n_hit, found = phrases.value.hits(texts)
-                if batch.num_columns > 1:  # what earlier slices found
-                    old = batch.column(2).to_pylist()
-                    spans = [merged([*a, *((x["start"], x["end"]) for x in b)]) for a, b in zip(spans, old, strict=True)]
-                    found = [{*a, *b} for a, b in zip(found, batch.column(4).to_pylist(), strict=True)]
-                    words = lex(ALNUM, texts)
-                    inside = [0] * len(spans)
-                    bounds = words.bounds()
-                    for i, own in enumerate(spans):
-                        starts = words.start[bounds[i] : bounds[i + 1]]
-                        inside[i] = int(sum(np.searchsorted(starts, e) - np.searchsorted(starts, s) for s, e in own))
-                    n_hit = np.array(inside, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array(n_words, pa.int64()),
-                        pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                        pa.array(n_hit, pa.int64()),
-                        pa.array([sorted(x) for x in found], pa.list_(pa.string())),
-                    ],
-                    names=schema.names,
-                )
+            for whole in batches:
+                for lo, hi in parts(pc.struct_field(whole.column(0), [field]), SHARD_BYTES):
+                    yield _scanned(whole.slice(lo, hi - lo), field, phrases.value, schema.names)
 
         out = out.mapInArrow(scan, schema)
     return out

@@ -180,7 +180,7 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[order], h[order]
 
 
-def parts(column: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def parts(column: pa.Array, size: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column with about ``size`` bytes each."""
     _, at = raw(column)
     row, rows = 0, len(at) - 1
