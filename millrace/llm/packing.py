@@ -245,7 +245,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
     runs, _ = plan(histogram, capacity)
     table = spark.createDataFrame(runs, "_length bigint, _from bigint, _to bigint, _first bigint, _each bigint")
-    placed = ranked(cut, "length", ["doc_id", "piece"], "_rank").join(
+    placed = ranked(cut, "length", ["doc_id", "piece", "ids_crc32"], "_rank").join(
         F.broadcast(table),  # bounded by lengths and configurations, not by pieces
         (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")),
     )

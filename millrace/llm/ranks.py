@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A class is dealt over so many parts, which are counted first.
-PARTS = 1024
+PARTS = 256
 
 
 def ranked(df: DataFrame, cls: str, ids: list[str], rank: str) -> DataFrame:
