@@ -3,7 +3,8 @@
 1. Seeds: of every 16 adjacent 8-word k-mers of a text the lowest hash
    (minimizers), so any 23 shared words share a seed, wherever they stand.  Of
    equal hashes one in 16 places is taken, and a seed that comes again within a
-   few words is numbered, so a periodic text matches another in order.
+   few words is numbered, so a periodic text matches another in order, as far as
+   the other reaches.
 2. Join: a seed that several documents hold is matched to its first document,
    the one of the lowest id, so matches grow with the seeds and not with pairs.
 3. Chain: the matches of a document with another are points (x, y).  A chain's
@@ -48,6 +49,8 @@ MIN_WORDS = 50
 SIMILARITY = 0.8
 #: Words that a span has at least, alone or as a part of a passage.
 MIN_SPAN = 16
+#: A seed that comes again within so many words is periodic; a longer unit is a copy of its own.
+PERIOD = K + WINDOW
 #: A chain ends where either document skips more words than this.
 MAX_GAP = 64
 #: Words beyond a chain's ends that alignment may claim.
@@ -95,7 +98,7 @@ def numbered(row: np.ndarray, h: np.ndarray, pos: np.ndarray) -> tuple[np.ndarra
     order = np.lexsort((pos, h, row))
     r, g, p = row[order], h[order], pos[order]
     again = np.zeros(len(g), bool)
-    again[1:] = (g[1:] == g[:-1]) & (r[1:] == r[:-1]) & (p[1:] - p[:-1] <= MAX_GAP)
+    again[1:] = (g[1:] == g[:-1]) & (r[1:] == r[:-1]) & (p[1:] - p[:-1] <= PERIOD)
     number = np.arange(len(g)) - np.maximum.accumulate(np.where(again, 0, np.arange(len(g))))
     return order, mix(g + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 

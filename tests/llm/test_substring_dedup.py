@@ -81,3 +81,12 @@ def test_fenwick_is_a_prefix_maximum():
         seen.append((at, (v, i)))
         q = rng.randint(0, 30)
         assert tree.upto(q) == max([x for a, x in seen if a <= q], default=(-1e18, -1))
+
+
+def test_every_copy_inside_a_document_is_a_repeat(spark, make, prose, sf_of):
+    p = prose(1, 55)
+    rows = [(1, f"{prose(2, 30)} {p}"), (2, " ".join([p] * 6)), (3, f"{p}\n{prose(3, 100)}\n{p}")]
+    got = {}
+    for r in S.op3_substring_dedup(spark, sf_of(documents=make(rows))).collect():
+        got.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.n_words))
+    assert got == {2: set(range(330)), 3: set(range(55)) | set(range(155, 210))}
