@@ -190,8 +190,8 @@ def score(df: DataFrame, text: str = "text", network: Network | None = None) ->
             for lo, hi in parts(texts, 2 << 20):
                 row, slot, padded = model.read(texts.slice(lo, hi - lo))
                 n = np.bincount(row, minlength=hi - lo)
-                total = np.bincount(row, model.log_probabilities(padded, slot), hi - lo)
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+                total = np.bincount(row, model.log_probabilities(padded, slot), hi - lo).astype(np.float64)  # without tokens numpy gives integers
+                mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(total), mean], names=["row", "n_tokens", "log_prob", "mean_log_prob"])
 
     fields = T._parse_datatype_string("n_tokens bigint, log_prob double, mean_log_prob double").fields
