@@ -46,7 +46,7 @@ CAPACITY = 2048
 #: Groups of large lengths.
 GROUPS = 24
 #: Lengths over this share of the capacity are large.
-LARGE = 1 / 4
+LARGE = 1 / 3
 END = 0
 
 Run = tuple[int, int, int, int, int]  # length, first rank, last rank + 1, first sequence, pieces a sequence
