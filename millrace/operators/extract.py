@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from millrace.functions import text, urls
 
 _QUIET = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-_HREF = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 _IMG = r"(?is)(<img\s[^>]*>)"
 
 # Character references that attributes of landed pages hold.
