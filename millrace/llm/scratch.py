@@ -6,6 +6,8 @@ where it is unset (tests, local runs) a temporary folder is made and used.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,7 +20,9 @@ def folder(spark: SparkSession) -> str:
     """The shared folder of this session."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="millrace-")
+        own = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        named = "file://" + own
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
