@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 17
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
