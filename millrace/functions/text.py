@@ -31,6 +31,12 @@ WATERMARKS = (
     r"usni\s*photo",
 )
 
+#: One of these stands, in lower case, in whatever ASCII token the patterns above can match.
+_HEADS = (
+    ".", "(c)", "http", "copyright", "photo", "credit", "source", "maritimequest", "navsource", "seaforces", "usni", "dvidshub",
+    "flickr", "wikimedia", "getty", "shutterstock", "alamy", "reuters", "image", "picture",
+)
+
 STRICT_HULL = rf"{_FLAGS}\b(?:{'|'.join(HULL_PREFIXES)})[-\s]?\d{{1,4}}\b"
 LOOSE_HULL = rf"{_FLAGS}\b\d{{2,4}}\b.*(?:{'|'.join(VESSEL_WORDS)})"
 
@@ -62,18 +68,29 @@ def metadata_has_hull(hull_in_title: Column, image_url: Column, page_url: Column
 
 
 def strip_watermarks(text: Column) -> Column:
-    """Tokens without watermarks and without numbers of more than six digits."""
+    """Tokens without watermarks and without numbers of more than six digits.
+
+    Plain substring tests let most tokens pass by the patterns; tokens beyond
+    ASCII, where case folds in other ways, always meet them.
+    """
     marked = _FLAGS + "(?:" + "|".join(WATERMARKS) + ")"
+
+    def dropped(t: Column) -> Column:
+        maybe = F.octet_length(t) != F.length(t)
+        for head in _HEADS:
+            maybe = maybe | F.lower(t).contains(head)
+        return (maybe & t.rlike(marked)) | ((F.length(t) > 6) & t.rlike(r"^\p{Nd}{7,}$"))
+
     tokens = F.filter(F.split(text, r"(?U)\s+"), lambda t: t != "")
-    return F.array_join(F.filter(tokens, lambda t: ~(t.rlike(marked) | t.rlike(r"^\p{Nd}{7,}$"))), " ")
+    return F.array_join(F.filter(tokens, lambda t: ~dropped(t)), " ")
 
 
 def digits(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[^\p{Nd}]", ""))
+    return F.length(F.regexp_replace(text, r"[^\p{Nd}]+", ""))
 
 
 def letters_and_digits(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", ""))
+    return F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]+", ""))
 
 
 def fold_tokens(tokens: Column) -> tuple[Column, Column]:

@@ -18,6 +18,7 @@ def test_strip_watermarks(column):
         "a b\tc": "a b c",
         "Photo by X ©2020 (c)Y": "Photo by X",
         "image 12345.jpg usni": "",
+        "ſource CREDITS http://x WWW.a.MIL (C)x ©x ٠١٢٣٤٥٦ kept": "kept",
         "": "",
     }
     assert column(text.strip_watermarks, list(cases)) == list(cases.values())
