@@ -10,12 +10,13 @@ hash; documents with an empty coordinate are read on to twice the rank.  Two
 documents agree in a coordinate with a probability of their weighted Jaccard
 similarity.
 
-Bands of coordinates propose pairs: in each bucket every text is held against
-the lowest one.  Exact similarities decide.  In buckets that still hold several
-components their lowest texts are held against each other, until nothing new is
-linked.  Links become classes by alternating stars.  All of it works on one
-representative of equal texts.  A link is missed where no band agrees: at
-similarity 0.8, once in 10,000 pairs.
+Bands of coordinates propose pairs: any two texts of a bucket.  Exact
+similarities decide.  In rounds the texts of each bucket, by rising id, are
+centres, one at first and more each round, and are held against all that follow;
+only pairs that links have already made one component need no test.  Links
+become classes by alternating stars.  All of it works on one representative of
+equal texts.  A link is missed where no band agrees: at similarity 0.8, once in
+10,000 pairs.
 
 Words are runs of letters and digits, A-Z folded.  A text of fewer than five
 words, but not none, is one shingle.  Defined cases: a null text equals the
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -46,6 +47,8 @@ BANDS = 24
 ROWS = 5
 #: Darts a coordinate beyond log(coordinates), on average.
 SPARE = 3.0
+#: Centres of a bucket in a round, as a multiple of the last round's.
+GROWTH = 4
 
 
 def strips(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,32 +170,36 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     exact = keep(sketch.groupBy("key").agg(F.min("id").alias("rep")), "exact")
     members = sketch.join(exact.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"))
     reps = members.filter(F.col("id") == F.col("rep")).select("rep", F.explode("bands").alias("band"))
-    centre = reps.groupBy("band").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).filter("centre <> last")
-    centre = keep(centre.select(F.col("band").alias("_band"), "centre"), "centres")
-    buckets = keep(reps.join(centre, F.col("band") == F.col("_band")).select("band", "rep", "centre").distinct(), "buckets")
-    pairs = buckets.filter("rep <> centre").select(F.col("centre").alias("u"), F.col("rep").alias("v")).distinct()
-    pairs = keep(pairs, "pairs")
+    shared = reps.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("top")).filter("low <> top")
+    shared = keep(shared.select(F.col("band").alias("_band")), "shared")
+    buckets = reps.join(shared, F.col("band") == F.col("_band")).select("band", "rep").distinct()
+    place = F.row_number().over(Window.partitionBy("band").orderBy("rep")) - 1
+    buckets = keep(buckets.withColumn("place", place), "buckets")
     wanted = buckets.select(F.col("rep").alias("_id")).distinct()
     # merge joins at every size: else the plan, and what it shuffles, would change with the table's
     texts = keep(docs.join(wanted.hint("merge"), F.col("id") == F.col("_id")).select("id", "text"), "texts")
-    links = keep(_verified(pairs, texts, k, least), "links")
-    tried = pairs
+    links = tried = found = None
+    left, first, width = buckets.withColumn("comp", F.col("rep")), 0, 1
     while True:
-        found = components(links)
+        # the next centres of each bucket, held against all after them of other components
+        centre = left.filter(F.col("place").between(first, first + width - 1))
+        centre = centre.select(F.col("band").alias("_band"), F.col("rep").alias("u"), F.col("place").alias("_place"), F.col("comp").alias("_comp"))
+        pairs = left.join(centre, (F.col("band") == F.col("_band")) & (F.col("place") > F.col("_place")) & (F.col("comp") != F.col("_comp")))
+        pairs = pairs.select("u", F.col("rep").alias("v")).distinct()
+        pairs = keep(pairs.join(tried, ["u", "v"], "left_anti") if tried is not None else pairs, "pairs")
+        new = keep(_verified(pairs, texts, k, least), "links")
+        tried = tried.union(pairs) if tried is not None else pairs
+        links = links.union(new) if links is not None else new
+        found = components(links) if found is None or not new.isEmpty() else found
+        first, width = first + width, width * GROWTH
         label = found.select(F.col("u").alias("_u"), F.col("v").alias("low"))
-        named = buckets.join(label, F.col("rep") == F.col("_u"), "left").select("band", F.coalesce("low", "rep").alias("comp"), "rep")
-        # one text of each component in a bucket, held against the bucket's lowest
-        heads = keep(named.groupBy("band", "comp").agg(F.min("rep").alias("head")), "heads")
-        lowest = heads.groupBy("band").agg(F.min("head").alias("u"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        lowest = keep(lowest.select(F.col("band").alias("_band"), "u"), "lowest")
-        more = heads.join(lowest, F.col("band") == F.col("_band")).filter("head <> u").select("u", F.col("head").alias("v")).distinct()
-        more = keep(more.join(tried, ["u", "v"], "left_anti"), "more")
-        if more.isEmpty():
+        left = left.drop("comp").join(label, F.col("rep") == F.col("_u"), "left").select("band", "rep", "place", F.coalesce("low", "rep").alias("comp"))
+        # buckets of one component, or without two texts that are still to meet, are used up
+        open_ = left.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("place").alias("end"))
+        open_ = keep(open_.filter((F.col("low") != F.col("high")) & (F.col("end") > first)).select(F.col("band").alias("_band")), "open")
+        left = keep(left.join(open_, F.col("band") == F.col("_band"), "left_semi"), "left")
+        if left.isEmpty():
             break
-        new = keep(_verified(more, texts, k, least), "links")
-        if new.isEmpty():
-            break
-        tried, links = tried.union(more), links.union(new)
     label = found.select(F.col("u").alias("_u"), F.col("v").alias("low"))
     return (
         members.select("id", "rep")

@@ -74,6 +74,19 @@ def test_classes_equal_brute_force(spark, make, prose, odd, sf_of):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_texts_beside_a_dissimilar_centre(spark, make, prose, monkeypatch):
+    base, other = prose(1, 100).split(), prose(2, 60).split()
+    c, t = " ".join(base), " ".join([*base[:84], *other[:16]])
+    u, w = " ".join([*t.split()[:96], *other[20:24]]), " ".join([*base[8:], *other[30:38]])
+    rows = [(1, c), *((10 + i, " ".join([*base[:80], *prose(50 + i, 20).split()])) for i in range(9)), (30, t), (31, u), (40, w)]
+    assert similar(bag(c), bag(t)) < 0.8 and similar(bag(c), bag(u)) < 0.8 <= similar(bag(t), bag(u))
+    # every text is in one bucket, so that bands don't matter
+    monkeypatch.setattr(N, "_banded", lambda signature, bands, each: np.ones((len(signature), 1), np.uint64))
+    got = N.classes(make(rows), bands=1, each=1).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == classes_of(rows)
+    assert {r.class_id for r in got if r.doc_id in (30, 31)} == {30}
+
+
 def test_stage_keeps_one_of_each(spark, make, prose, odd):
     rows = [*odd, (1, prose(1, 90)), (2, prose(1, 90)), (3, edited(prose(1, 90), 1, 1)), (4, prose(2, 90)), (None, prose(3, 80))]
     clash = make(rows).selectExpr("*", "1 AS id", "2 AS rep", "3 AS class_id", "4 AS band", "5 AS _kept")
