@@ -12,7 +12,8 @@
    smaller x and y comes from a Fenwick tree of prefix maxima.
 4. Align: the words around a chain, of both documents, are aligned seed by seed,
    greedily outwards and by common subsequences in the gaps.  Spans with a
-   similarity of 0.8 or more are repeats.
+   similarity of 0.8 or more are repeats; of a chain that is less alike as a
+   whole, its longest parts that are.
 5. A passage whose seeds have different first documents comes in several spans:
    spans of a document that touch are one, and from ``MIN_WORDS`` words it counts.
 
@@ -298,6 +299,49 @@ def align(a: np.ndarray, b: np.ndarray, anchors: list[tuple[int, int]], k: int =
     return lo, hi, matches
 
 
+def pieces(a: np.ndarray, b: np.ndarray, anchors: list[tuple[int, int]], k: int = K, least: float = SIMILARITY) -> list[tuple[int, int, int]]:
+    """(first word, last word + 1, matches) of the passages in ``a`` along a chain.
+
+    A chain that is alike as a whole is one.  Of another the longest part that is
+    alike is taken, then those of what stands before and after it.
+    """
+    if whole := align(a, b, anchors, k, least):
+        return [whole]
+    n = len(anchors)
+    at = np.array(anchors)
+    total, head, tail = np.zeros(n, np.int64), np.zeros((n, 3), np.int64), np.zeros((n, 3), np.int64)
+    x = y = 0
+    for i, (p, q) in enumerate(anchors):
+        over = max(0, x - p, y - q) if i else 0
+        before, other = a[x : p + over], b[y : q + over]
+        head[i] = _outwards(before[::-1], other[::-1])[-1]
+        if i:
+            total[i] = total[i - 1] + _gap(before, other) + k - over
+            tail[i - 1] = _outwards(before, other)[-1]
+        x, y = p + k, q + k
+    tail[-1] = _outwards(a[x:], b[y:])[-1]
+    start, end = at - head[:, :2], at + k + tail[:, :2]
+    far = np.zeros(n, np.int64)
+    out, todo, stale = [], [(0, n)], np.ones(n, bool)
+    while todo:
+        lo, hi = todo.pop()
+        for i in np.flatnonzero(stale[lo:hi] | (far[lo:hi] >= hi)) + lo:
+            matches = k + total[i:hi] - total[i] + head[i, 2] + tail[i:hi, 2]
+            good = np.flatnonzero(matches >= least * (end[i:hi] - start[i]).max(axis=1))
+            far[i], stale[i] = (i + good[-1], False) if len(good) else (i, False)
+        if lo == hi:
+            continue
+        length = end[far[lo:hi], 0] - start[lo:hi, 0]
+        i = lo + int(length.argmax())
+        if length.max() < MIN_SPAN:
+            continue
+        j = int(far[i])
+        if found := align(a, b, anchors[i : j + 1], k, least):
+            out.append(found)
+        todo += [(lo, i), (j + 1, hi)]
+    return sorted(out)
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep_rows, spans = [], []
@@ -307,10 +351,10 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b = np.frombuffer(columns["bwords"][i].as_py(), "<u4")
             sa, sb = max(0, columns["lo"][i].as_py() - REACH), max(0, columns["olo"][i].as_py() - REACH)
             flat = columns["anchors"][i].as_py()
-            found = align(a, b, [(x - sa, y - sb) for x, y in zip(flat[::2], flat[1::2], strict=True)])
-            if found and found[1] - found[0] >= MIN_SPAN:
-                keep_rows.append(i)
-                spans.append((found[0] + sa, found[1] + sa, found[2]))
+            for found in pieces(a, b, [(x - sa, y - sb) for x, y in zip(flat[::2], flat[1::2], strict=True)]):
+                if found[1] - found[0] >= MIN_SPAN:
+                    keep_rows.append(i)
+                    spans.append((found[0] + sa, found[1] + sa, found[2]))
         cols = list(zip(*spans, strict=True)) or [[], [], []]
         at = pa.array(keep_rows, pa.int64())
         yield pa.RecordBatch.from_arrays([columns["doc"].take(at), columns["other"].take(at), *(pa.array(c, pa.int32()) for c in cols)], names=["doc", "other", "first", "last", "matches"])

@@ -90,3 +90,31 @@ def test_every_copy_inside_a_document_is_a_repeat(spark, make, prose, sf_of):
     for r in S.op3_substring_dedup(spark, sf_of(documents=make(rows))).collect():
         got.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.n_words))
     assert got == {2: set(range(330)), 3: set(range(55)) | set(range(155, 210))}
+
+
+def test_chain_less_alike_keeps_its_parts(spark, make, prose, sf_of):
+    p, q, r = prose(1, 55), prose(2, 55), prose(3, 55)
+    rows = [
+        (1, f"{p} {prose(10, 30)} {q}"),
+        (2, f"{p} {q}"),  # 110 of 140 words
+        (3, f"{r} {prose(11, 20)} {prose(12, 8)}"),
+        (4, f"{r} {prose(13, 20)} {prose(12, 8)} {prose(14, 40)}"),  # and a common phrase
+    ]
+    got = {}
+    for x in S.op3_substring_dedup(spark, sf_of(documents=make(rows))).collect():
+        got.setdefault(x.doc_id, set()).update(range(x.first_word, x.first_word + x.n_words))
+    assert got[2] == set(range(110)) and set(range(55)) <= got[4] <= set(range(57))
+
+
+def test_longest_parts_of_a_chain():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    one, two = rng.integers(0, 1 << 30, (2, 40))
+    # 40 + 12 + 40 words are alike at 0.87; the seed 30 words on is not part of it
+    far = rng.integers(0, 1 << 30, 8)
+    a = np.concatenate([one, rng.integers(0, 1 << 30, 12), two, rng.integers(0, 1 << 30, 30), far])
+    b = np.concatenate([one, rng.integers(0, 1 << 30, 12), two, rng.integers(0, 1 << 30, 30), far])
+    anchors = [(0, 0), (32, 32), (52, 52), (84, 84), (122, 122)]
+    assert S.align(a, b, anchors) is None
+    assert S.pieces(a, b, anchors) == [(0, 92, 80)]
