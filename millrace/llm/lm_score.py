@@ -7,9 +7,9 @@ each place, tanh, softmax over the vocabulary.  A document's score is the sum of
 the log-probabilities of its tokens, each given its neighbours.
 
 Training is data parallel.  Every partition starts from the same weights and
-takes steps over windows of its own documents; every ``STRIDE``-th position of
-each document is a training target, so what is learned from grows with the
-corpus and no document is left out.  The partitions' weights are averaged by
+takes steps over windows of its own documents; every position of each document
+is a training target, so what is learned from grows with the corpus and no
+document is left out.  The partitions' weights are averaged by
 their numbers of windows in levels of bounded fan-in; only the last, bounded
 level reaches the driver.  Scoring reads every token of every document.
 
@@ -38,8 +38,6 @@ from millrace.llm.words import ALNUM, lex, parts
 FREQUENT, CLASSES = 351, 32
 HIDDEN = 32
 PLACES = (-2, -1, 1, 2)
-#: One position in so many of a document is a training target.
-STRIDE = 8
 STEP, BATCH = 0.08, 512
 #: Weights that are averaged in one task.
 FAN_IN = 32
@@ -162,13 +160,9 @@ def train(texts: DataFrame) -> Network:
         memory, n = network_here.memory(), 0
         for batch in batches:
             for lo, hi in parts(batch.column(0)):
-                row, slot, padded = network_here.read(batch.column(0).slice(lo, hi - lo))
-                first = np.ones(len(row), bool)
-                first[1:] = row[1:] != row[:-1]
-                place = np.arange(len(row)) - np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
-                chosen = slot[(place + row) % STRIDE == 0]
-                network_here.learn(padded, chosen, memory)
-                n += len(chosen)
+                _, slot, padded = network_here.read(batch.column(0).slice(lo, hi - lo))
+                network_here.learn(padded, slot, memory)
+                n += len(slot)
         flat = network_here.weights().astype("<f4").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()), pa.array([flat], pa.binary())], names=["part", "n", "weights"])
 

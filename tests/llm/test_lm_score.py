@@ -52,3 +52,12 @@ def test_empty_clash_and_levels(spark, make, monkeypatch):
     df = spark.createDataFrame(rows, "part long, n long, weights binary")
     want = sum(p * (1 + p) for p in range(9)) / sum(1 + p for p in range(9))
     assert np.allclose(L._average(df), want)
+
+
+def test_every_position_is_a_target(spark, make, monkeypatch):
+    rows = [(i, "a b c"[: 1 + 2 * (i % 3)]) for i in range(40)]  # 1 to 3 words
+    seen = []
+    average = L._average
+    monkeypatch.setattr(L, "_average", lambda weights: (seen.extend(r.n for r in weights.select("n").collect()), average(weights))[1])
+    L.train(make(rows).select("text"))
+    assert sum(seen) == sum(len(t.split()) for _, t in rows)
