@@ -7,7 +7,8 @@ candidate is aligned by patience: words that are unique on both sides are
 anchors, the longest increasing subsequence of their places is kept, and the
 gaps between are aligned the same way, their equal ends where no word is unique.
 Matched words far from the rest are let go.
-Coverage is the share of the template that is matched.  Of overlapping matches
+Coverage is the share of the template that is matched; the words and numbers that
+name its license are matched all, and the span names no variant.  Of overlapping matches
 the one with the greatest share of both sides stays.
 
 Words are runs of letters and digits, A-Z folded.  Defined cases: null and empty
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import bisect
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,6 +35,8 @@ from pyspark.sql import types as T
 
 from millrace.llm.words import ALNUM, Words, lex, parts
 
+_WORD = re.compile(r"[a-z0-9]+")
+
 # Names and notices of public licenses.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
@@ -94,6 +98,12 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 
 #: Share of a template that a match covers, and of the matched span that is the template's.
 COVERAGE, DENSITY = 0.8, 0.7
+# Words that tell a license from its kin, beside numbers; a match has all that its template has ...
+NAMING = frozenset("mit apache gnu lesser affero general mozilla cc by nc nd sa creative commons attribution sharealike noncommercial waived unencumbered domain".split())
+#: ... and of these no other.
+QUALIFIERS = frozenset("lesser affero nc nd sa sharealike noncommercial noderivatives noderivs".split())
+#: Templates of more words are told apart by their wording; only their names and numbers count, not "by" or "general" in prose.
+SHORT = 30
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -167,11 +177,17 @@ class Scanner:
     """Templates as symbols, with the windows that may hold them."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES, coverage: float = COVERAGE, density: float = DENSITY):
-        words = ALNUM.words([text for _, text in templates])
+        words = ALNUM.words([*(text for _, text in templates), " ".join(sorted(QUALIFIERS))])
         self.vocabulary, symbols = np.unique(words.hash, return_inverse=True)
         bounds = words.bounds()
         self.names = [name for name, _ in templates]
-        self.symbols = [symbols[lo:hi].tolist() for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+        *self.symbols, qualifiers = [symbols[lo:hi].tolist() for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+        self.needed = []
+        for (_, text), own in zip(templates, self.symbols, strict=True):
+            plain = [w for w in _WORD.findall(text.lower())]
+            names = NAMING if len(own) <= SHORT else NAMING & {"mit", "apache", "gnu", "lesser", "affero", "mozilla"}
+            self.needed.append({x for w, x in zip(plain, own, strict=True) if w in names or w.isdigit()})
+        self.qualifiers = set(qualifiers)
         self.member = np.zeros((len(templates), len(self.vocabulary) + 1), np.int8)
         for t, own in enumerate(self.symbols):
             self.member[t, own] = 1
@@ -209,6 +225,10 @@ class Scanner:
                     lo, end = i + pairs[0][0], i + pairs[-1][0] + 1
                     if len(pairs) < self.density * (end - lo):
                         continue
+                    if need := self.needed[t]:
+                        matched = {own[y] for _, y in pairs}
+                        if need - matched or self.qualifiers & set(body[pairs[0][0] : pairs[-1][0] + 1]) - matched:
+                            continue
                     done = end
                     share = len(pairs) / max(end - lo, len(own))
                     found[int(words.row[i])].append((-share, -len(pairs), t, lo, end, len(pairs) / len(own)))

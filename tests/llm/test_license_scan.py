@@ -53,3 +53,22 @@ def test_query(spark, make, odd, prose, sf_of):
     assert found.select("row.*").columns == clash.columns and C.scan(clash.filter("false")).count() == 0
     (m,) = found.filter("row.doc_id = 1").first().licenses
     assert rows[-3][1].encode()[m.start : m.end].decode() == "Released under the MIT License"
+
+
+def test_licenses_outside_the_table(prose):
+    notices = [
+        "Licensed under the BSD License.",
+        "Licensed under the Apache License.",
+        "Licensed under the Apache License, Version 1.1.",
+        "Licensed under CC BY 3.0.",
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+    ]
+    texts = [f"{prose(i, 40)} {n} {prose(i + 50, 40)}" for i, n in enumerate(notices)]
+    for n, own in zip(notices, C.Scanner().scan(C.ALNUM.words(texts)), strict=True):
+        assert own == [], n
+    (own,) = C.Scanner().scan(C.ALNUM.words(["It was released under MIT License"]))
+    assert [n for _, _, n, _ in own] == ["MIT"]
