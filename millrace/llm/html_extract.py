@@ -50,6 +50,7 @@ ASIDE_NAMES = frozenset(
 )
 HEAD_NAMES = frozenset({"header", "head"})
 CONTENT_NAMES = frozenset("article articles content entry main post story".split())
+MODIFIERS = frozenset("has no with without".split())
 NEVER_ASIDE = frozenset({"html", "body", "article", "main"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open element on the left ends where one on the right begins.
@@ -91,6 +92,8 @@ class _Element:
                 elif tag not in NEVER_ASIDE:
                     words = set(_WORD.findall(value))
                     self.path += "." + "-".join(sorted(words))
+                    # "has-sidebar" tells of a part, it doesn't name this one
+                    words = {w for name in value.split() for w in _WORD.findall(name) if MODIFIERS.isdisjoint(_WORD.findall(name))}
                     self.aside |= bool(words & ASIDE_NAMES) or bool(words & HEAD_NAMES and not words & CONTENT_NAMES)
             self.aside |= tag not in ("html", "body") and bool(_HIDDEN.search(attributes))
 
@@ -173,6 +176,12 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
+def _above(node: _Element) -> Iterator[_Element]:
+    """Its ancestors, the nearest first."""
+    while node := node.parent:
+        yield node
+
+
 def main_text(page: str | None) -> str:
     """The content of a page, blocks joined by a space."""
     found = leaves(page or "")
@@ -209,6 +218,19 @@ def main_text(page: str | None) -> str:
     up = content
     while up and up.tag not in ("article", "main"):  # the article that holds it, with its heading
         up = up.parent
+    if not up:
+        # up to the highest element below body where selected text or a heading stands beside it
+        line = {node: d for d, node in enumerate([content, *_above(content)]) if node.tag not in ("", "html", "body")}
+        high, seen = content, set()
+        for leaf, own in zip(found, chosen, strict=True):
+            if own or leaf.element.tag in HEADINGS:
+                node = leaf.element
+                while node and node not in line and node not in seen:
+                    seen.add(node)
+                    node = node.parent
+                if node in line and line[node] > line.get(high, -1):
+                    high = node
+        content = high
     content = up or (content.parent if content.tag == "p" or content.tag in HEADINGS else content) or content
 
     def within(node: _Element | None) -> bool:

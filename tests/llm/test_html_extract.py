@@ -47,3 +47,14 @@ def test_odd_pages(spark):
     by = {r.row.page_id: r.text for r in got}
     assert by[1] == by[2] == by[5] == "" and by[3] == "deep" and by[4].startswith("word, word,") and len(by[4]) == 599_999 and by[None] == "t"
     assert H.extract(df.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["site has-sidebar", "content no-sidebar", "page with-widgets", "without-ads"])
+def test_names_that_tell_of_a_part(name):
+    assert H.main_text(f"<div class='{name}'><article><p>{LONG}</p></article><div class='sidebar'><p>{LONG}</p></div></div>") == LONG
+
+
+def test_heading_and_lead_beside_the_text():
+    body = " ".join([LONG] * 20)
+    page = f"<body><div class='menu'><a href=x>Home</a></div><div><h1>Title</h1><div class=lead><p>A lead, short.</p></div><div class=text><p>{body}</p></div></div><div class='ad'>{LONG}</div></body>"
+    assert H.main_text(page) == f"Title A lead, short. {body}"
