@@ -97,6 +97,45 @@ def test_stage_keeps_one_of_each(spark, make, prose, odd):
     assert N.keep_one(spark, clash.filter("false"), "").count() == 0
 
 
+def test_stage_keeps_distinct_texts_of_one_id(spark, make, prose):
+    rows = [(1, prose(11, 80)), (1, prose(12, 80)), (2, prose(13, 80)), (2, prose(13, 80)), (2, edited(prose(12, 80), 1, 1))]
+    out = N.keep_one(spark, make(rows), "").collect()
+    assert Counter((r.doc_id, r.text) for r in out) == Counter([rows[0], rows[1], rows[2]])
+
+
+@pytest.mark.parametrize("own", [22, 8])
+def test_family_with_shared_boilerplate(spark, make, prose, own):
+    """Pairs over a common frame: at 22 own words only pairs are alike, at 8 nearly all are."""
+    base = prose(1, 204)
+    word = lambda *x: "w" + "x".join(map(str, x))
+    rows = [(i, " ".join([base[: len(base) // 2], *(word("o", i, j) for j in range(60))])) for i in range(40)]
+    for g in range(60):
+        for m in range(2):
+            text = " ".join([base, *(word("p", g, j) for j in range(10)), *(word("m", g, m, j) for j in range(own))])
+            rows.append((100 + 2 * g + m, text))
+    got = N.classes(make(rows)).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == classes_of(rows)
+
+
+def test_prefixes_lose_no_pair(spark, make, prose):
+    """Of random edits of a text and its halves all similar pairs share a short and a long prefix."""
+    base = prose(3, 150)
+    texts = [edited(base[: len(base) * (5 + i % 6) // 10], i, i % 12) for i in range(60)] + [base] * 2
+    df = make(list(enumerate(dict.fromkeys(texts)))).selectExpr("encode(string(doc_id), 'utf-8') AS key", "text")
+    rows = N.prefixes(df, 5, 0.8).collect()
+    short, long = ({}, {})
+    for r in rows:
+        long.setdefault(int(r.key.decode()), set()).add(r.strip)
+        if r.short:
+            short.setdefault(int(r.key.decode()), set()).add(r.strip)
+    bags = [bag(t) for t in dict.fromkeys(texts)]
+    size = [sum(b.values()) for b in bags]
+    for i in range(len(bags)):
+        for j in range(len(bags)):
+            if i != j and size[i] <= size[j] and similar(bags[i], bags[j]) >= 0.8:
+                assert short.get(i, set()) & long.get(j, set())
+
+
 @pytest.mark.parametrize("edges", [[(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)], [(1, 2), (3, 4), (4, 5), (9, 9)], []])
 def test_components(spark, edges):
     df = spark.createDataFrame(edges, "u long, v long")
