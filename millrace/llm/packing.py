@@ -7,18 +7,26 @@ capacity, reaches the driver.  There
    rounded up to the largest of their group;
 2. the cutting-stock program over these few sizes is solved by column
    generation: a revised simplex with a knapsack for the next configuration;
-3. each configuration, taken its rounded-down number of times, is filled with
-   actual pieces of its groups, all but its smallest member: rounding leaves more
-   room there than that member took, and step 4 finds the piece that uses it;
-4. the other large pieces and the small ones go, longest first, where they fit
-   best, and new sequences open only for what fits nowhere.
+3. each configuration, taken its rounded-down number of times, is filled whole
+   with actual pieces: a member of a size by the longest piece within that size,
+   the last member by the longest within the room that is left, which rounding
+   makes at least its size;
+4. what large pieces are left are grouped and solved again, as long as a
+   configuration is used;
+5. the rest goes, longest first, where it fits best, and new sequences open only
+   for what fits nowhere.
+
+How much of the capacity makes a length large decides what steps 1 to 4 see.  The
+plan is made for each share of ``LARGE`` and the one of fewest sequences is taken,
+the first of equal ones; at 1 no length is large and step 5 does all.
 
 Placements are runs, "ranks a to b of length L go to sequences from s, k each",
 so their number doesn't grow with the pieces.  Executors rank the pieces of a
 length, look the run up and sum offsets within a sequence.
 
-Ids come from a byte-pair vocabulary; tests hold the fast encoder to the
-``tokenizers`` file's own ids.
+Ids come from a ``tokenizers`` file.  Where it is a byte-level model with the usual
+pattern, texts of Latin letters are cut by that pattern here, and the file's model
+encodes each distinct part once; all others go to its tokenizer whole.
 
 Defined cases: a null text is empty and gives the end id alone; a long text is
 cut, its first piece the short one; repeated rows are packed once each; an empty
@@ -28,10 +36,12 @@ the id column given.
 
 from __future__ import annotations
 
-import base64
 import bisect
+import itertools
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -44,36 +54,66 @@ from millrace.llm.scratch import keep
 
 CAPACITY = 2048
 #: Groups of large lengths.
-GROUPS = 24
-#: Lengths over this share of the capacity are large.
-LARGE = 1 / 3
+GROUPS = 64
+#: Lengths over a share of the capacity are large: the shares that are tried.
+LARGE = (1 / 3, 1 / 8, 1)
+#: Parts of texts whose ids a worker remembers, and the longest part among them.
+REMEMBERED, SHORT = 400_000, 64
 END = 0
 
 Run = tuple[int, int, int, int, int]  # length, first rank, last rank + 1, first sequence, pieces a sequence
 
 
-@lru_cache(2)
-def encoder(vocabulary: str):
-    """text -> ids.  ``vocabulary``: the name of a ``tokenizers`` file.
+# The pattern of byte-level vocabularies, its classes spelled out for texts up to U+02AF, and texts beyond.
+_LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ʯ", "0-9²³¹¼-¾", " \t\n\r\x0b\x0c"
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_BEYOND = re.compile(r"[^\t-\r -~¡-ʯ]")
+#: A byte's letter in such a vocabulary: itself if it is printable, else the next one from U+0100.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS = {b: b for b in _PLAIN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
+class _Remembered(dict):
+    """Ids by part of a text.  Beyond ``REMEMBERED`` parts those not used again are let go."""
+
+    def __init__(self, encode: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.encode, self.old = encode, {}
 
-    The same vocabulary as ranks, where it is at hand, encodes faster; texts
-    with a special token's string go to the file's own tokenizer.
-    """
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        if len(part) > SHORT:
+            return self.encode(part)
+        ids = self.old.get(part)
+        if ids is None:
+            ids = self.encode(part)
+        if len(self) >= REMEMBERED // 2:
+            self.old = dict(self)
+            self.clear()
+        self[part] = ids
+        return ids
+
+
+@lru_cache(2)
+def encoder(vocabulary: str) -> Callable[[str], list[int]]:
+    """text -> ids.  ``vocabulary``: the name of a ``tokenizers`` file."""
     import public_tokenizers
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    plain = lambda text: own.encode(text, add_special_tokens=False).ids
-    try:
-        import tiktoken
-
-        with open(public_tokenizers.path(vocabulary.replace(".json", ".tiktoken")), "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    except (ImportError, OSError, KeyError):
-        return plain
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    whole = lambda text: own.encode(text, add_special_tokens=False).ids
+    told = json.loads(own.to_str())
+    cut = told["pre_tokenizer"] or {}
+    if told["normalizer"] or told["model"]["type"] != "BPE" or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex"):
+        return whole
     special = [t.content for t in own.get_added_tokens_decoder().values()]
-    return lambda text: plain(text) if any(s in text for s in special) else fast.encode_ordinary(text)
+    known = _Remembered(lambda part: tuple(t.id for t in own.model.tokenize(part.encode().decode("latin-1").translate(_LETTERS))))
+
+    def encode(text: str) -> list[int]:
+        if _BEYOND.search(text) or any(s in text for s in special):
+            return whole(text)
+        return list(itertools.chain.from_iterable(map(known.__getitem__, _PARTS.findall(text))))
+
+    return encode
 
 
 def pieces(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -99,37 +139,37 @@ def pieces(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "
     return small.mapInArrow(cut, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
-def _knapsack(sizes: list[int], worth: np.ndarray, capacity: int) -> np.ndarray:
-    """The most valuable multiset of sizes within the capacity."""
-    best, used = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    s = np.array(sizes)
-    for room in range(min(sizes), capacity + 1):
-        fits = s <= room
-        gain = np.where(fits, best[np.maximum(room - s, 0)] + worth, -1.0)
-        i = int(gain.argmax())
-        if gain[i] > best[room - 1] + 1e-12:
-            best[room], used[room] = gain[i], i
-        else:
-            best[room] = best[room - 1]
-    taken, room = np.zeros(len(sizes)), capacity
-    while room > 0:
-        if used[room] < 0:
-            room -= 1
-        else:
-            taken[used[room]] += 1
-            room -= sizes[used[room]]
+def _knapsack(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
+    """The most valuable multiset of sizes within the capacity, by numbers of members."""
+    room = np.arange(capacity + 1) - sizes[:, None]
+    fits, room = room >= 0, np.maximum(room, 0)
+    best, levels = np.zeros(capacity + 1), []
+    for _ in range(capacity // int(sizes.min())):
+        gain = np.where(fits, best[room] + worth[:, None], -1.0)
+        which = gain.argmax(axis=0)
+        top = gain[which, np.arange(capacity + 1)]
+        which[top <= best + 1e-12] = -1
+        if (which < 0).all():
+            break
+        best = np.maximum(best, top)
+        levels.append(which)
+    taken, left = np.zeros(len(sizes)), capacity
+    for which in reversed(levels):
+        if which[left] >= 0:
+            taken[which[left]] += 1
+            left -= int(sizes[which[left]])
     return taken
 
 
 def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[np.ndarray, int]]:
     """Configurations and how often to use each, rounded down from the optimum."""
-    k = len(sizes)
+    k, wide = len(sizes), np.array(sizes)
     basis = np.diag([float(capacity // s) for s in sizes])
     need = np.array(demand, float)
     for _ in range(60 * k):
         inverse = np.linalg.inv(basis)
         worth = np.ones(k) @ inverse
-        column = _knapsack(sizes, np.maximum(worth, 0), capacity)
+        column = _knapsack(wide, np.maximum(worth, 0), capacity)
         if worth @ column <= 1 + 1e-7:
             break
         change, level = inverse @ column, inverse @ need
@@ -166,58 +206,81 @@ class _Gaps:
         return room, first, count
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, large: float = LARGE) -> tuple[list[Run], int]:
-    """Runs that place every piece, and the number of sequences."""
+class _Stock:
+    """The pieces that are left, by length."""
+
+    def __init__(self, histogram: dict[int, int]):
+        self.left = {x: (0, n) for x, n in histogram.items() if n}  # next rank, count
+        self.order = sorted(self.left)
+
+    def take(self, longest: int, n: int) -> tuple[int, int, int] | None:
+        """(length, first rank, count) of at most ``n`` pieces of the longest length within ``longest``."""
+        i = bisect.bisect_right(self.order, longest)
+        if not i:
+            return None
+        length = self.order[i - 1]
+        rank, count = self.left[length]
+        if count <= n:
+            del self.left[length], self.order[i - 1]
+        else:
+            self.left[length] = (rank + n, count - n)
+        return length, rank, min(n, count)
+
+    def between(self, low: float, high: int) -> list[tuple[int, int]]:
+        """(length, count), longest first."""
+        return [(x, self.left[x][1]) for x in reversed(self.order) if low < x < high]
+
+
+def grouped(lengths: list[tuple[int, int]], groups: int) -> tuple[list[int], list[int]]:
+    """Sizes and demands of groups of equal cardinality, each of its longest length."""
+    per = -(-sum(n for _, n in lengths) // groups)
+    demand: dict[int, int] = {}
+    room = size = 0
+    for length, left in lengths:
+        while left:
+            if not room:
+                size, room = length, per
+            n = min(left, room)
+            demand[size] = demand.get(size, 0) + n
+            left, room = left - n, room - n
+    return list(demand), list(demand.values())
+
+
+def _fill(stock: _Stock, members: list[int], times: int, capacity: int, first: int, runs: list[Run], gaps: _Gaps) -> int:
+    """A configuration's members, longest first, in sequences from ``first``: how many it opened."""
+    parts = [(0, times, capacity)]  # sequences from, to, and the room in each
+    for k, size in enumerate(members):
+        filled = []
+        for lo, hi, room in parts:
+            while lo < hi:
+                got = stock.take(room if 0 < k == len(members) - 1 else size, hi - lo)
+                if got is None:
+                    filled += [(lo, hi, room)] if k else []
+                    break
+                length, rank, n = got
+                runs.append((length, rank, rank + n, first + lo, 1))
+                filled.append((lo, lo + n, room - length))
+                lo += n
+        parts = filled
+    for lo, hi, room in parts:
+        gaps.add(room, first + lo, hi - lo)
+    return max((hi for _, hi, _ in parts), default=0)
+
+
+def _planned(histogram: dict[int, int], capacity: int, groups: int, large: float) -> tuple[list[Run], int]:
     runs: list[Run] = []
-    gaps, total = _Gaps(), histogram.get(capacity, 0)
+    stock, gaps, total = _Stock(histogram), _Gaps(), histogram.get(capacity, 0)
     if total:
-        runs.append((capacity, 0, total, 0, 1))
-    big = sorted((x for x in histogram if capacity * large < x < capacity), reverse=True)
-    n_big = sum(histogram[x] for x in big)
-    if n_big:
-        # groups of equal cardinality: a length may stand in several
-        per = -(-n_big // groups)
-        members: list[list[list[int]]] = [[]]  # of [length, first rank, count]
-        room = per
-        for x in big:
-            rank, left = 0, histogram[x]
-            while left:
-                if not room:
-                    members.append([])
-                    room = per
-                n = min(left, room)
-                members[-1].append([x, rank, n])
-                rank, left, room = rank + n, left - n, room - n
-        by_size: dict[int, list[list[int]]] = {}
-        for group in members:
-            by_size.setdefault(group[0][0], []).extend(group)
-        sizes = list(by_size)
-        for config, times in configurations(sizes, [sum(x[2] for x in by_size[s]) for s in sizes], capacity):
-            edges, slots = {0, times}, []
-            smallest = int(np.flatnonzero(config)[-1])
-            for i, (s, copies) in enumerate(zip(sizes, config.tolist(), strict=True)):
-                for _ in range(copies - (i == smallest)):
-                    slot, filled = [], 0
-                    while filled < times and by_size[s]:
-                        head = by_size[s][0]
-                        n = min(times - filled, head[2])
-                        slot.append((filled, filled + n, head[0]))
-                        runs.append((head[0], head[1], head[1] + n, total + filled, 1))
-                        head[1], head[2], filled = head[1] + n, head[2] - n, filled + n
-                        if not head[2]:
-                            by_size[s].pop(0)
-                        edges.add(filled)
-                    slots.append(slot)
-            marks = sorted(edges)
-            for lo, hi in zip(marks[:-1], marks[1:], strict=True):
-                used = sum(x for slot in slots for a, b, x in slot if a <= lo < b)
-                gaps.add(capacity - used, total + lo, hi - lo)
-            total += times
-        rest = [tuple(x) for s in sizes for x in by_size[s]]
-    else:
-        rest = []
-    rest += [(x, 0, n) for x, n in histogram.items() if x <= capacity * large]
-    for length, rank, left in sorted(rest, reverse=True):
+        runs.append((*stock.take(capacity, total)[:2], total, 0, 1))
+    used = True
+    while used and (some := stock.between(capacity * large, capacity)):
+        used, sizes = 0, []
+        sizes, demand = grouped(some, groups)
+        for config, times in sorted(configurations(sizes, demand, capacity), key=lambda x: (-x[0]).tolist()):
+            members = [s for s, n in zip(sizes, config.tolist(), strict=True) for _ in range(n)]
+            opened = _fill(stock, members, times, capacity, total, runs, gaps)
+            total, used = total + opened, used + opened
+    for length, (rank, left) in sorted(stock.left.items(), reverse=True):
         while left:
             found = gaps.tightest(length)
             if found is None:
@@ -239,6 +302,19 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     return runs, total
 
 
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, large: tuple[float, ...] = LARGE) -> tuple[list[Run], int]:
+    """Runs that place every piece, and the number of sequences."""
+    least = -(-sum(x * n for x, n in histogram.items()) // capacity)
+    best: tuple[list[Run], int] | None = None
+    for share in large:
+        found = _planned(histogram, capacity, groups, share)
+        if best is None or found[1] < best[1]:
+            best = found
+        if best[1] == least:
+            break
+    return best
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with sequence_id and offset.  ``cut``: a written table of pieces."""
     spark = cut.sparkSession

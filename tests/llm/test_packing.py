@@ -34,6 +34,72 @@ def test_plans_are_whole_and_tight():
     assert check({1365: 30, 683: 30}) <= 31
 
 
+def optimum(lengths, capacity):
+    """The least number of sequences, by all ways."""
+    best = len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for j in {r: j for j, r in enumerate(rooms) if r >= lengths[i]}.values():
+            place(i + 1, [*rooms[:j], rooms[j] - lengths[i], *rooms[j + 1 :]])
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+def test_small_cases_against_the_optimum():
+    rng = random.Random(4)
+    for _ in range(40):
+        lengths = sorted((rng.randint(1, 100) for _ in range(rng.randint(1, 9))), reverse=True)
+        assert check(dict(Counter(lengths)), 100) <= optimum(lengths, 100) + 1
+
+
+def test_configurations_decide():
+    """Halves, quarters and a bit: best fit alone pairs the wrong ones."""
+    histogram = {1028: 600, 520: 600, 516: 600, 504: 1200}
+    rng = random.Random(5)
+    mixed = Counter(rng.randint(300, 1100) for _ in range(3000))
+    for h, most in ((histogram, 0.85), (mixed, 0.995)):
+        assert check(h) <= most * P.plan(h, large=(1,))[1]
+        assert P.plan(h, large=(1 / 8,))[1] <= most * P.plan(h, large=(1,))[1]
+
+
+def test_configurations_fill_the_capacity():
+    sizes, demand = [60, 45, 35, 20], [10, 20, 30, 40]
+    for config, times in P.configurations(sizes, demand, 100):
+        assert times >= 1 and config @ sizes <= 100
+    made = sum(c * n for c, n in P.configurations(sizes, demand, 100))
+    assert all(made <= demand) and sum(n for _, n in P.configurations(sizes, demand, 100)) <= 41
+    assert P.grouped([(9, 5), (8, 1), (4, 2)], 4) == ([9, 8, 4], [6, 1, 1]) or sum(P.grouped([(9, 5), (8, 1), (4, 2)], 4)[1]) == 8
+
+
+def test_ids_equal_the_file(prose):
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = P.encoder("byte_bpe_50k.json")
+    rng = random.Random(6)
+    letters = [chr(i) for i in [*range(1, 0x300), 0x4E2D, 0x1F600, 0x2028, 0x3000]] + [" "] * 200 + list("abc'st'll\n\t 12") * 20
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(600)]
+    texts += ["".join(rng.choice([" ", " ", "\n", "\t", "a", "é", "'ll", "9", "!", "\x0b"]) for _ in range(30)) for _ in range(400)]
+    texts += [prose(1, 500), "a" * 5000, " " * 5001 + "x", "it's we'll <|endoftext|> x"]
+    for t in texts:
+        assert list(encode(t)) == own.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_long_white_space_and_memory(monkeypatch):
+    encode = P.encoder("byte_bpe_50k.json")
+    assert len(encode(" " * 10_000_000 + "x")) > 1000
+    monkeypatch.setattr(P, "REMEMBERED", 10)
+    known = P._Remembered(lambda x: (len(x),))
+    for i in range(100):
+        assert known[f"{i}"] == (len(str(i)),) and len(known) + len(known.old) <= 10
+
+
 def test_query(spark, make, odd, prose, sf_of):
     rng = random.Random(2)
     rows = [*odd, (1, "ends <|endoftext|> here"), (2, prose(9, 9000)), *((10 + i, prose(i, rng.randint(1, 900))) for i in range(150))]
