@@ -58,3 +58,62 @@ def test_heading_and_lead_beside_the_text():
     body = " ".join([LONG] * 20)
     page = f"<body><div class='menu'><a href=x>Home</a></div><div><h1>Title</h1><div class=lead><p>A lead, short.</p></div><div class=text><p>{body}</p></div></div><div class='ad'>{LONG}</div></body>"
     assert H.main_text(page) == f"Title A lead, short. {body}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='page has-sidebar'><article><p>{LONG}</p></article></div>",
+        f"<div class='elementor-widget-container'><p>{LONG}</p></div>",
+        f"<form action=x><div id=content><p>{LONG}</p></div></form>",
+        f"<div id='wrap' class='no-social'><main><p>{LONG}</p></main></div>",
+        f"<fieldset><div><h1></h1><p>{LONG}</p></div></fieldset><div class=ad>Buy.</div>",
+        f"<div class='widget'><article><p>{LONG}</p></article></div><div class='comments'><article class='comment-body'><p>{LONG}</p></article></div>",
+    ],
+)
+def test_wrappers_keep_their_article(page):
+    assert H.main_text(page) == LONG
+
+
+@pytest.mark.parametrize("stray", ["<p title=\"it's>", "<p title='a\"b>", "<p title=\"x>", "<p data-x=\"<b>it's</b>\">", "<p title='1 > 0'>"])
+def test_stray_quotes(stray):
+    assert H.main_text(f"<article><p>{LONG}</p>{stray}{LONG}</p><b class=\"x\">{LONG}</b></article>") == " ".join([LONG] * 3)
+
+
+def test_long_comments_do_not_win():
+    comments = "".join(f"<li class='comment'><p>{LONG} {LONG}</li>" for _ in range(9))
+    assert H.main_text(f"<div><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><ol id='comments'>{comments}</ol></div>") == f"Title {LONG} {LONG}"
+
+
+def test_ratios_equal_a_count():
+    page = H.Page(f"<body><div class=a><p>{LONG}<p>x, y</p><p><a href=z>all link</a></p></div><div class=b><p>no</p></div></body>")
+    text, marks, free = H.ratios(page)
+    blocks = [LONG, "x, y", "all link"]
+    share = 1 - len("all link") / sum(map(len, blocks))
+    count = sum(b.count(c) for b in blocks for c in ",.;:!?")
+    assert text == [pytest.approx(sum(map(len, blocks)) / 3 * share)] * 3 + [2.0]
+    assert marks == [pytest.approx((1 + count) / 3 * share)] * 3 + [1.0] and free[:3] == [pytest.approx(share)] * 3
+    values = [1.0, 5.0, 2.0, 8.0]
+    g = [1, 2.718281828459045**-0.5, 2.718281828459045**-2]
+    want = [sum(g[abs(i - j)] * v for j, v in enumerate(values) if abs(i - j) < 3) / sum(g[abs(i - j)] for j in range(4) if abs(i - j) < 3) for i in range(4)]
+    assert H.smooth(values) == pytest.approx(want)
+
+
+def test_the_threshold_decides(spark, sf, monkeypatch):
+    """Without it advertisements and footers come in; without any names paths still tell the article."""
+    pages = [p.html for p in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    assert all(H.main_text(p) == article(p) for p in pages)
+    bare = [p.replace("article>", "div>") for p in pages]
+    assert all(H.main_text(b) == article(p) for b, p in zip(bare, pages, strict=True))
+    monkeypatch.setattr(H, "threshold", lambda fused: -1.0)
+    assert sum(H.main_text(p) != article(p) for p in pages) > len(pages) / 2
+
+
+def test_memory_follows_the_length():
+    import tracemalloc
+
+    tracemalloc.start()
+    assert H.main_text("<div>" * 200_000 + LONG) == LONG
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
