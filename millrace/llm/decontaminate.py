@@ -8,8 +8,10 @@ shorter than the shortest phrase are left out: both lose no occurrence.  All
 phrases are searched backwards at once, occurrences are located by sampled
 suffixes, and their word spans merged.
 
-The benchmark is broadcast in slices of a bounded number of bytes; the documents
-pass once by each slice, without a shuffle.
+The benchmark is broadcast in slices of a bounded number of bytes.  A phrase is two
+offsets into its slice's words, so a slice is a few times its text.  The driver makes
+them one after the other, and a worker that holds a shard has one at a time; the
+documents pass once, without a shuffle.
 
 Defined cases: null and empty texts have no words and no hits; items without
 words are ignored; a null item id is the empty string; repeated items count once
@@ -29,12 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.fm_index import FMIndex
-from millrace.llm.words import ALNUM, lex, parts
+from millrace.llm.words import ALNUM, Words, lex, parts, windows
 
 #: Words in a window.
 WINDOW = 13
 #: Bytes of benchmark text that one broadcast slice holds, about.
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 8 << 20
 #: Bytes of documents that one index is built over, about.
 SHARD_BYTES = 8 << 20
 
@@ -46,29 +48,34 @@ class Phrases:
 
     def __init__(self, items: list[tuple[str, str | None]], n: int = WINDOW):
         words = ALNUM.words([text for _, text in items])
-        self.vocabulary = np.unique(words.hash)
-        symbols = np.searchsorted(self.vocabulary, words.hash) + 2  # 0 ends, 1 separates
+        names, item = np.unique(np.array([name for name, _ in items], dtype=object), return_inverse=True) if items else (np.zeros(0, object), np.zeros(0, int))
+        self.names = names.tolist()
+        self.vocabulary, symbols = np.unique(words.hash, return_inverse=True)
+        self.flat = (symbols + 2).astype(np.int32)  # 0 ends, 1 separates
         bounds = words.bounds()
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for (name, _), lo, hi in zip(items, bounds[:-1], bounds[1:], strict=True):
-            for i in range(lo, max(lo + 1, hi - n + 1)) if hi > lo else ():
-                owners.setdefault(tuple(symbols[i : min(i + n, hi)].tolist()), set()).add(name)
-        self.items = [sorted(x) for x in owners.values()]
-        self.lengths = np.array([len(x) for x in owners], np.int64)
-        self.offsets = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
-        self.flat = np.array([s for x in owners for s in x], np.int64)
-        self.shortest = int(self.lengths.min()) if owners else 0
-
-    def hits(self, texts: pa.Array) -> tuple[np.ndarray, list[list[tuple[int, int]]], np.ndarray, list[set[str]]]:
-        """Per text: words, merged byte spans, hit words and the items found."""
-        rows = len(texts)
-        words = lex(ALNUM, texts)
-        n_words = np.bincount(words.row, minlength=rows)
-        spans: list[list[tuple[int, int]]] = [[] for _ in range(rows)]
-        found: list[set[str]] = [set() for _ in range(rows)]
-        n_hit = np.zeros(rows, np.int64)
+        counts = np.diff(bounds)
+        h, at = windows(words.row, words.hash, n)
+        short = np.flatnonzero((counts > 0) & (counts < n))
+        starts = np.concatenate([at, bounds[short]]).astype(np.int32)
+        length = np.concatenate([np.full(len(at), n), counts[short]]).astype(np.int32)
+        order = np.lexsort((starts, np.concatenate([h, words.hash[bounds[short]]]), length))
+        starts, length = starts[order], length[order]
+        # the same words again are the same phrase
+        same = np.append(False, length[1:] == length[:-1])[: len(length)]
+        for k in range(n):
+            i = np.flatnonzero(same & (length > k))
+            same[i] = self.flat[starts[i] + k] == self.flat[starts[i - 1] + k]
+        fresh = np.flatnonzero(~same)
+        self.starts, self.lengths = starts[fresh], length[fresh]
+        self.owners = item[words.row[starts]].astype(np.int32)  # of phrase i: owners[first[i]:first[i + 1]]
+        self.first = np.append(fresh, len(starts)).astype(np.int32)
+        self.shortest = int(length.min()) if len(length) else 0
+
+    def occurrences(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(phrase, first word) of every occurrence."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if not self.shortest or not len(words.row):
-            return n_words, spans, n_hit, found
+            return none
         at = np.minimum(np.searchsorted(self.vocabulary, words.hash), len(self.vocabulary) - 1)
         known = self.vocabulary[at] == words.hash
         opens = known.copy()
@@ -77,7 +84,7 @@ class Phrases:
         kept = known & (np.bincount(run[known], minlength=int(run[-1]) + 1)[run] >= self.shortest) if known.any() else known
         place = np.flatnonzero(kept)
         if not len(place):
-            return n_words, spans, n_hit, found
+            return none
         shift = np.cumsum(opens[place] | (np.arange(len(place)) == 0))
         slot = np.arange(len(place)) + shift - 1
         text = np.ones(slot[-1] + 2, np.int64)
@@ -85,25 +92,23 @@ class Phrases:
         back = np.zeros(len(text), np.int64)
         back[slot] = place
         index = FMIndex(text, len(self.vocabulary) + 2)
-        phrase, position = index.locate(*index.search(self.flat, self.offsets))
+        phrase, position = index.locate(*index.search(self.flat, self.starts, self.starts + self.lengths))
+        return phrase, back[position]
+
+    def hits(self, words: Words) -> tuple[np.ndarray, list[tuple[int, str]]]:
+        """Which words stand in an occurrence, and (row, item) of those found."""
+        phrase, first = self.occurrences(words)
         if not len(phrase):
-            return n_words, spans, n_hit, found
-        first = back[position]
+            return np.zeros(len(words.row), bool), []
         edge = np.zeros(len(words.row) + 1, np.int64)
         np.add.at(edge, first, 1)
         np.add.at(edge, first + self.lengths[phrase], -1)
-        hit = np.cumsum(edge[:-1]) > 0
-        n_hit = np.bincount(words.row[hit], minlength=rows)
-        begins = hit.copy()
-        begins[1:] &= ~hit[:-1] | (words.row[1:] != words.row[:-1])
-        ends = hit.copy()
-        ends[:-1] &= ~hit[1:] | (words.row[1:] != words.row[:-1])
-        for r, s, e in zip(words.row[begins].tolist(), words.start[begins].tolist(), words.end[ends].tolist(), strict=True):
-            spans[r].append((s, e))
-        pairs = np.unique(words.row[first] * len(self.items) + phrase)
-        for pair in pairs.tolist():
-            found[pair // len(self.items)].update(self.items[pair % len(self.items)])
-        return n_words, spans, n_hit, found
+        pairs = np.unique(words.row[first] * len(self.first) + phrase)  # a phrase of a text once
+        row, phrase = pairs // len(self.first), pairs % len(self.first)
+        n = self.first[phrase + 1] - self.first[phrase]
+        owner = self.owners[np.repeat(self.first[phrase] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        found = np.unique(np.repeat(row, n) * max(1, len(self.names)) + owner)
+        return np.cumsum(edge[:-1]) > 0, [(int(x) // len(self.names), self.names[int(x) % len(self.names)]) for x in found]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -126,27 +131,29 @@ def _slices(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[s
         yield [(r.i, r.t) for r in part.collect()]
 
 
-def _scanned(batch: pa.RecordBatch, field: int, phrases: Phrases, names: list[str]) -> pa.RecordBatch:
-    """A shard with what this slice of the benchmark, and the ones before, have there."""
-    texts = pc.struct_field(batch.column(0), [field])
-    n_words, spans, n_hit, found = phrases.hits(texts)
-    if batch.num_columns > 1:
-        old = batch.column(2).to_pylist()
-        spans = [merged([*a, *((x["start"], x["end"]) for x in b)]) for a, b in zip(spans, old, strict=True)]
-        found = [{*a, *b} for a, b in zip(found, batch.column(4).to_pylist(), strict=True)]
-        words = lex(ALNUM, texts)
-        inside = [0] * len(spans)
-        bounds = words.bounds()
-        for i, own in enumerate(spans):
-            starts = words.start[bounds[i] : bounds[i + 1]]
-            inside[i] = int(sum(np.searchsorted(starts, e) - np.searchsorted(starts, s) for s, e in own))
-        n_hit = np.array(inside, np.int64)
+def _scanned(batch: pa.RecordBatch, field: int, slices: list, names: list[str]) -> pa.RecordBatch:
+    """A shard with what the benchmark's slices have there."""
+    words = lex(ALNUM, pc.struct_field(batch.column(0), [field]))
+    hit, found = np.zeros(len(words.row), bool), [set() for _ in range(words.rows)]
+    for one in slices:
+        own, items = one.value.hits(words)
+        hit |= own
+        for row, name in items:
+            found[row].add(name)
+        if len(slices) > 1:
+            del one._value  # read again for the next shard: a worker holds one slice
+    other = words.row[1:] != words.row[:-1]
+    begins, ends = hit.copy(), hit.copy()
+    begins[1:] &= ~hit[:-1] | other
+    ends[:-1] &= ~hit[1:] | other
+    spans = pa.StructArray.from_arrays([pa.array(words.start[begins], pa.int64()), pa.array(words.end[ends], pa.int64())], names=["start", "end"])
+    offsets = np.searchsorted(words.row[begins], np.arange(words.rows + 1)).astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [
             batch.column(0),
-            pa.array(n_words, pa.int64()),
-            pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            pa.array(n_hit, pa.int64()),
+            pa.array(np.bincount(words.row, minlength=words.rows), pa.int64()),
+            pa.ListArray.from_arrays(pa.array(offsets), spans),
+            pa.array(np.bincount(words.row[hit], minlength=words.rows), pa.int64()),
             pa.array([sorted(x) for x in found], pa.list_(pa.string())),
         ],
         names=names,
@@ -154,24 +161,19 @@ def _scanned(batch: pa.RecordBatch, field: int, phrases: Phrases, names: list[st
 
 
 def find_contamination(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = WINDOW) -> DataFrame:
-    """``row``, the input row as a struct, n_words, spans (merged bytes of hit words), n_hit, items.
-
-    With several slices, hit words are counted from the merged spans.
-    """
-    spark = df.sparkSession
-    out = df.select(F.struct("*").alias("row"))
+    """``row``, the input row as a struct, n_words, spans (merged bytes of hit words), n_hit, items."""
+    context = df.sparkSession.sparkContext
+    rows = df.select(F.struct("*").alias("row"))
     field = df.columns.index(text)
-    schema = T.StructType([*out.schema.fields, *T._parse_datatype_string(f"n_words bigint, spans {_SPAN}, n_hit bigint, items array<string>").fields])
-    for items in _slices(benchmark, item, item_text):
-        phrases = spark.sparkContext.broadcast(Phrases(items, n))
+    schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string(f"n_words bigint, spans {_SPAN}, n_hit bigint, items array<string>").fields])
+    slices = [context.broadcast(Phrases(items, n)) for items in _slices(benchmark, item, item_text)]  # each of bounded size
 
-        def scan(batches: Iterator[pa.RecordBatch], phrases=phrases) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for lo, hi in parts(pc.struct_field(whole.column(0), [field]), SHARD_BYTES):
-                    yield _scanned(whole.slice(lo, hi - lo), field, phrases.value, schema.names)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo, hi in parts(pc.struct_field(whole.column(0), [field]), SHARD_BYTES):
+                yield _scanned(whole.slice(lo, hi - lo), field, slices, schema.names)
 
-        out = out.mapInArrow(scan, schema)
-    return out
+    return rows.mapInArrow(scan, schema)
 
 
 def contaminated() -> F.Column:

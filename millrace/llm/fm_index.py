@@ -68,16 +68,18 @@ class FMIndex:
     def _step(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         return self.first[symbol] + self.ranks.rank(symbol, at)
 
-    def search(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix ranges [lo, hi) of all phrases flat[offsets[i]:offsets[i + 1]]."""
-        n = len(offsets) - 1
-        lo, hi, end = np.zeros(n, np.int64), np.full(n, self.size, np.int64), offsets[1:].copy()
-        live = np.flatnonzero(end > offsets[:-1])
+    def search(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix ranges [lo, hi) of all phrases flat[starts[i]:ends[i]], none of them empty."""
+        last = flat[ends - 1]
+        lo, hi = self.first[last], self.first[last + 1]
+        live = np.flatnonzero((lo < hi) & (ends - 1 > starts))
+        end = (ends[live] - 1).astype(np.int64)
         while len(live):
-            end[live] -= 1
-            symbol = flat[end[live]]
+            end -= 1
+            symbol = flat[end]
             lo[live], hi[live] = self._step(symbol, lo[live]), self._step(symbol, hi[live])
-            live = live[(lo[live] < hi[live]) & (end[live] > offsets[live])]
+            more = (lo[live] < hi[live]) & (end > starts[live])
+            live, end = live[more], end[more]
         return lo, np.maximum(lo, hi)
 
     def locate(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

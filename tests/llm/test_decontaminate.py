@@ -1,5 +1,7 @@
 import hashlib
+import pickle
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -20,7 +22,7 @@ def test_index_equals_brute_force():
         phrases = [rng.integers(1, top + 1, k).tolist() for k in (1, 2, 3, 5) for _ in range(5)] + [text[: min(n, 7)].tolist()]
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in phrases])])
         index = FMIndex(text, top + 1)
-        which, where = index.locate(*index.search(np.concatenate(phrases), offsets))
+        which, where = index.locate(*index.search(np.concatenate(phrases), offsets[:-1], offsets[1:]))
         got = sorted(zip(which.tolist(), where.tolist(), strict=True))
         assert got == sorted((k, i) for k, p in enumerate(phrases) for i in range(n) if text[i : i + len(p)].tolist() == p)
 
@@ -83,3 +85,19 @@ def test_sql_agrees(spark, sf):
     for t in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     assert sorted(con.execute(D.SQL).fetchall()) == sorted(tuple(r) for r in D.op8_decontaminate(spark, sf).collect())
+
+
+def test_a_slice_is_a_few_times_its_text():
+    """So are the driver's memory for it and the broadcast."""
+    rng = np.random.default_rng(2)
+    vocabulary = ["".join(x) for x in rng.choice(list("abcdefghijklmnop"), (20_000, 6))]
+    items = [(str(i), " ".join(rng.choice(vocabulary, 500))) for i in range(D.SLICE_BYTES // 3500)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    phrases = D.Phrases(items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size > 0.9 * D.SLICE_BYTES and peak < 60 * size < 1e9
+    assert len(pickle.dumps(phrases)) < 6 * size
+    found = phrases.hits(D.ALNUM.words([items[7][1], "nothing here", items[9][1][100:300]]))
+    assert {n for r, n in found[1] if r == 0} == {"7"} and {n for r, n in found[1] if r == 2} == {"9"}
