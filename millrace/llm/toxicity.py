@@ -1,29 +1,32 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and beginnings of words, A-Z folded.  A bounded sample of
-labelled rows (``EXAMPLES``, the lowest hashes of their ids) says which terms
-tell the label: those with a likelihood ratio of at least ``EVIDENCE`` that
-raise it, at most ``TERMS`` of them.  Document frequencies of these terms are
-counted over the whole corpus.
-
-The examples stand in an inverted index of blocks.  Each block knows the largest
-weight of each term, so a query's products with them bound its cosine with any
-example there.  Blocks are read by falling bound until no bound beats the k-th
-best cosine found: the neighbours are exact.  Their labels vote by cosine.
-Leave-one-out votes of the examples, made monotone by pooling adjacent
-violators, turn votes into probabilities.  Texts without any term get the share
-of toxic examples among such texts.
+The examples are a bounded sample of labelled rows (``EXAMPLES``, the lowest hashes
+of their ids, a row an id).  Terms are all words of the examples, A-Z folded, and
+those beginnings of words that tell their label: likelihood ratio ``TELLING`` or
+more.  A text's vector has all its terms, each weighed by its frequency in the text,
+its inverse document frequency over the whole corpus, and its relevance: one and the
+likelihood ratio with which it raises the label among the examples.  Words that no
+example has are outside the space.
+
+The examples stand in an inverted index of blocks.  For each term a block knows its
+largest weight there, so a query's products with them bound its cosine with any
+example of the block.  Blocks are read by falling bound until no bound reaches the
+k-th best cosine found: the neighbours are exact, and they are the evidence.  Their
+labels vote by the inverse of their distance.  Votes of the examples, each left out
+of its own neighbours, made monotone by pooling adjacent violators, turn votes into
+probabilities.  Texts without any term get the share of toxic examples.
 
 Defined cases: null and empty texts have no terms; labels that are null, or
-whose id has no document, are ignored; of repeated labels the highest counts;
-without usable labels every score is 0.0;
-neighbours of equal cosine enter by their order in the index; repeated rows are
-scored alike; an empty table gives an empty one; extra columns are left out.
+whose id has no document, are ignored; of repeated labels the highest counts, of
+several texts of a labelled id the one of the lowest hash; without usable labels
+every score is 0.0; neighbours of equal cosine enter by their order in the index;
+repeated rows are scored alike; an empty table gives an empty one; extra columns are
+left out.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,146 +39,202 @@ from millrace.llm.words import ALNUM, lex, parts
 
 #: Labelled rows that are looked at, at most.
 EXAMPLES = 8192
-#: Terms that are kept, at most, and the likelihood ratio that each needs.
-TERMS, EVIDENCE = 1024, 20.0
-#: Bytes of the word beginnings that are terms too.
-PREFIXES = (4, 5, 6, 7)
+#: Bytes of the word beginnings that can be terms, and the likelihood ratio that each needs.
+PREFIXES, TELLING = (4, 5, 6, 7), 10.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: What is added to a distance before it is inverted.
+NEAR = 0.1
 #: Strength of the prior in votes and probabilities, in neighbours.
 PRIOR = 0.5
+#: Neighbours that are returned as evidence.
+EVIDENCE = 3
+
+
+def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """All places of ranges that begin at ``start`` and are ``n`` long."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _counted(texts: pa.Array, beginnings: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term hash, occurrences), sorted by both.  beginnings: those that are terms; None for these only, all of them."""
+    words = lex(ALNUM, texts, PREFIXES if beginnings is None or len(beginnings) else ())
+    row, h = ([], []) if beginnings is None else ([words.row], [words.hash])
+    for some in words.prefix.values():
+        own = some != 0
+        if beginnings is not None:
+            at = np.minimum(np.searchsorted(beginnings, some), len(beginnings) - 1)
+            own &= beginnings[at] == some
+        row.append(words.row[own])
+        h.append(some[own])
+    row, h = np.concatenate(row), np.concatenate(h)
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    at = np.flatnonzero(fresh)
+    return row[at], h[at], np.diff(np.append(at, len(h)))
+
+
+def ratio(n: np.ndarray, t: np.ndarray, rows: int, toxic: int) -> np.ndarray:
+    """Likelihood ratio of a term's two-by-two table, 0 where it lowers the label."""
 
+    def part(seen, total, whole):
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) * rows / np.maximum(total * whole, 1)), 0.0)
 
-def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, term hash) of every term occurrence."""
-    words = lex(ALNUM, texts, PREFIXES)
-    row = np.concatenate([words.row] * (1 + len(PREFIXES)))
-    h = np.concatenate([words.hash, *words.prefix.values()])
-    return row[h != 0], h[h != 0]
+    both = part(t, n, toxic) + part(n - t, n, rows - toxic) + part(toxic - t, rows - n, toxic) + part(rows - toxic - n + t, rows - n, rows - toxic)
+    return np.where(t * rows > n * toxic, np.maximum(2 * both, 0), 0.0)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, toxic -> term, rows and toxic rows that have it."""
+def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """text, toxic -> beginning of words, rows and toxic rows that have it."""
     for batch in batches:
-        for lo, hi in parts(batch.column(0), 2 << 20):
-            row, h = _terms(batch.column(0).slice(lo, hi - lo))
-            order = np.lexsort((h, row))
-            row, h = row[order], h[order]
-            first = np.ones(len(h), bool)
-            first[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-            toxic = batch.column(1).slice(lo, hi - lo).to_numpy()[row[first]]
-            terms, at = np.unique(h[first], return_inverse=True)
-            n, t = np.bincount(at, minlength=len(terms)), np.bincount(at, toxic, len(terms))
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n, pa.int64()), pa.array(t.astype(np.int64))], names=["h", "n", "t"])
-
-
-def _ratio(n: F.Column, t: F.Column, rows: int, toxic: int) -> F.Column:
-    """Likelihood ratio of a term's two-by-two table, 0 where it lowers the label."""
+        row, h, _ = _counted(batch.column(0), None)
+        terms, at = np.unique(h, return_inverse=True)
+        t = np.bincount(at, batch.column(1).to_numpy()[row], len(terms)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(np.bincount(at, minlength=len(terms)), pa.int64()), pa.array(t)], names=["h", "n", "t"])
 
-    def part(seen: F.Column, total: F.Column, whole: int) -> F.Column:
-        return F.when(seen > 0, seen * F.log(seen * rows / (total * whole))).otherwise(0.0)
 
-    both = part(t, n, toxic) + part(n - t, n, rows - toxic) + part(toxic - t, rows - n, toxic) + part(rows - toxic - n + t, rows - n, rows - toxic)
-    return F.when(t * rows > n * 2 * toxic, 2 * both).otherwise(0.0)
+def _vectors(beginnings: np.ndarray):
+    """(id, toxic, text) -> id, toxic, term hashes and their occurrences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, h, tf = _counted(batch.column(2), beginnings)
+            offsets = pa.array(np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, x) for x in (pa.array(h.view(np.int64)), pa.array(tf.astype(np.int32)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["id", "toxic", "h", "tf"])
+
+    return run
 
 
-def _vectors(terms: np.ndarray):
-    """(id, text) -> id, terms (numbers) and tf of the kept terms."""
+def _document_frequencies(terms: np.ndarray, beginnings: np.ndarray):
+    """text -> numbers of terms and of texts that have them, summed over a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(terms), np.int64)
         for batch in batches:
-            for lo, hi in parts(batch.column(1)):
-                row, h = _terms(batch.column(1).slice(lo, hi - lo))
-                at = np.minimum(np.searchsorted(terms, h), len(terms) - 1) if len(terms) else np.zeros(len(h), int)
-                has = terms[at] == h if len(terms) else np.zeros(len(h), bool)
-                cell, tf = np.unique(row[has] * max(1, len(terms)) + at[has], return_counts=True)
-                owner = cell // max(1, len(terms))
-                offsets = pa.array(np.searchsorted(owner, np.arange(hi - lo + 1)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (cell % max(1, len(terms)), tf)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *lists], names=["id", "terms", "tf"])
+            for lo, hi in parts(batch.column(0), 2 << 20):
+                _, h, _ = _counted(batch.column(0).slice(lo, hi - lo), beginnings)
+                at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
+                n += np.bincount(at[terms[at] == h], minlength=len(terms))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], names=["t", "n"])
 
     return run
 
 
 class BlockMaxIndex:
-    """Exact cosine neighbours among unit vectors, by blocks with largest weights."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, n_terms: int):
-        heaviest = [int(t[w.argmax()]) for t, w in vectors]
-        self.order = np.array(sorted(range(len(vectors)), key=lambda i: (heaviest[i], i)), np.int64)  # alike ones in a block
-        self.labels = labels[self.order]
-        self.blocks = -(-len(vectors) // BLOCK)
-        self.largest = np.zeros((n_terms, max(1, self.blocks)), np.float64)
-        term = np.concatenate([vectors[i][0] for i in self.order]) if len(vectors) else np.zeros(0, int)
-        weight = np.concatenate([vectors[i][1] for i in self.order]) if len(vectors) else np.zeros(0)
-        slot = np.repeat(np.arange(len(vectors)), [len(vectors[i][0]) for i in self.order]) if len(vectors) else np.zeros(0, int)
-        np.maximum.at(self.largest, (term, slot // BLOCK), weight)
-        key = np.lexsort((slot, term, slot // BLOCK))  # postings by block, then term
-        self.slot, self.weight = slot[key] % BLOCK, weight[key]
-        cell = (slot[key] // BLOCK) * n_terms + term[key]
-        self.starts = np.searchsorted(cell, np.arange(self.blocks * n_terms + 1))
-        self.n_terms = n_terms
-
-    def _block(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        at = b * self.n_terms + terms
-        lo, n = self.starts[at], self.starts[at + 1] - self.starts[at]
-        which = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.slot[which], self.weight[which] * np.repeat(weights, n), BLOCK)
+    """Exact cosine neighbours among unit vectors, by blocks with largest weights.
+
+    Vector i has terms[at[i]:at[i + 1]] with weights.  Postings are sorted by term
+    and place; a cell is a term's postings in a block.
+    """
+
+    def __init__(self, at: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int):
+        size = len(at) - 1
+        owner = np.repeat(np.arange(size), np.diff(at))
+        # alike ones in a block: by their commonest term, which tells the language, then by the heaviest
+        spread = np.bincount(terms, minlength=n_terms)
+        common, heaviest = np.full(size, -1), np.full(size, -1)
+        for key, out in ((spread[terms], common), (weights, heaviest)):
+            order = np.lexsort((key, owner))
+            last = np.flatnonzero(np.append(owner[order][1:] != owner[order][:-1], True)) if len(owner) else np.zeros(0, int)
+            out[owner[order][last]] = terms[order][last]
+        self.order = np.lexsort((np.arange(size), heaviest, common))
+        place = np.empty(size, np.int64)
+        place[self.order] = np.arange(size)
+        self.size, self.blocks = size, -(-size // BLOCK)
+        key = np.lexsort((place[owner], terms))
+        self.place, self.weight, term = place[owner][key].astype(np.int32), weights[key], terms[key]
+        block = self.place // BLOCK
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(fresh)
+        self.cell = np.append(first, len(key))  # first posting of each cell
+        self.block = block[first].astype(np.int32)
+        self.largest = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        self.term = np.searchsorted(term[first], np.arange(n_terms + 1))  # first cell of each term
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(example positions, cosines) of the k nearest that share a term."""
-        if not self.blocks:
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = weights @ self.largest[terms]
-        position, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(cosine) == k and bound[b] <= cosine[-1] + 1e-12):
+        """(places, cosines) of the k nearest that share a term."""
+        n = self.term[terms + 1] - self.term[terms]
+        cells, by = _spread(self.term[terms], n), np.repeat(weights, n)
+        bound = np.bincount(self.block[cells], self.largest[cells] * by, self.blocks)
+        rank = np.empty(self.blocks, np.int64)
+        order = np.argsort(-bound, kind="stable")
+        rank[order] = np.arange(self.blocks)
+        place, cosine = np.zeros(0, np.int64), np.zeros(0)
+        lo, step = 0, 4
+        while lo < self.blocks and bound[order[lo]] > 0:
+            least = cosine[-1] - 1e-12 if len(cosine) == k else 0.0
+            hi = lo + int(np.searchsorted(-bound[order[lo : lo + step]], -least, "right"))
+            if hi == lo:
                 break
-            found = self._block(int(b), terms, weights)
-            own = np.flatnonzero(found > 0)
-            position, cosine = np.concatenate([position, b * BLOCK + own]), np.concatenate([cosine, found[own]])
-            best = np.lexsort((position, -cosine))[:k]
-            position, cosine = position[best], cosine[best]
-        return position, cosine
+            own = (rank[self.block[cells]] >= lo) & (rank[self.block[cells]] < hi)
+            count = self.cell[cells[own] + 1] - self.cell[cells[own]]
+            at = _spread(self.cell[cells[own]], count)
+            found = np.bincount(self.place[at], self.weight[at] * np.repeat(by[own], count), self.size)
+            new = np.flatnonzero(found > 0)
+            place, cosine = np.concatenate([place, new]), np.concatenate([cosine, found[new]])
+            best = np.lexsort((place, -cosine))[:k]
+            place, cosine = place[best], cosine[best]
+            lo, step = hi, step * 2
+        return place, cosine
 
 
 class Model:
-    """The index with its term weights and calibration."""
-
-    def __init__(self, idf: np.ndarray, examples: list[tuple[int, np.ndarray, np.ndarray, int]]):
-        self.idf = idf
-        some = [e for e in examples if len(e[1])]
-        blank = [e[3] for e in examples if not len(e[1])]
-        self.share = sum(e[3] for e in examples) / len(examples) if examples else 0.0
-        self.blank = (sum(blank) + PRIOR * self.share) / (len(blank) + PRIOR)
-        self.index = BlockMaxIndex([(e[1], self.unit(e[1], e[2])) for e in some], np.array([e[3] for e in some], np.int64), len(idf))
-        self.ids = [some[i][0] for i in self.index.order]
-        votes = np.array([self._vote(some[i][1], some[i][2], own) for own, i in enumerate(self.index.order)])
-        self.votes, self.levels = _monotone(votes, self.index.labels, self.share)
-
-    def unit(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(tf)) * self.idf[terms]
-        return w / (math.sqrt(float(w @ w)) or 1.0)
-
-    def _vote(self, terms: np.ndarray, tf: np.ndarray, leave: int = -1) -> float:
-        position, cosine = self.index.nearest(terms, self.unit(terms, tf), NEIGHBOURS + (leave >= 0))
-        if leave >= 0:
-            other = position != leave
-            position, cosine = position[other][:NEIGHBOURS], cosine[other][:NEIGHBOURS]
-        return float((cosine @ self.index.labels[position] + PRIOR * self.share) / (cosine.sum() + PRIOR))
-
-    def score(self, terms: np.ndarray, tf: np.ndarray) -> float:
+    """The index with its term weights and, once calibrated, its probabilities."""
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, at: np.ndarray, h: np.ndarray, tf: np.ndarray, beginnings: np.ndarray):
+        self.beginnings = beginnings
+        self.terms, self.term = np.unique(h, return_inverse=True)
+        self.at, self.tf, self.ids, self.labels = at, tf, ids, labels
+        self.share = float(labels.mean()) if len(labels) else 0.0
+        self.votes, self.levels = np.zeros(0), np.zeros(0)
+
+    def weigh(self, df: np.ndarray, documents: int) -> None:
+        owner = np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
+        n = np.bincount(self.term, minlength=len(self.terms)).astype(float)
+        t = np.bincount(self.term, self.labels[owner], len(self.terms)) if len(owner) else np.zeros(len(self.terms))
+        self.weight = (np.log((1 + documents) / (1 + df)) + 1) * (1 + ratio(n, t, len(self.labels), int(self.labels.sum())))
+        w = (1 + np.log(self.tf)) * self.weight[self.term]
+        norm = np.sqrt(np.bincount(owner, w * w, len(self.at) - 1))
+        self.unit = w / norm[owner]
+        self.index = BlockMaxIndex(self.at, self.term, self.unit, len(self.terms))
+        self.ids, self.labels = self.ids[self.index.order], self.labels[self.index.order]
+
+    def vote(self, place: np.ndarray, cosine: np.ndarray) -> float:
+        near = 1 / (NEAR + np.maximum(1 - cosine, 0))
+        return float((near @ self.labels[place] + PRIOR * self.share) / (near.sum() + PRIOR))
+
+    def left_out(self, own: int) -> float:
+        """The vote of an example's neighbours; own: its place in the index."""
+        some = slice(self.at[self.index.order[own]], self.at[self.index.order[own] + 1])
+        place, cosine = self.index.nearest(self.term[some], self.unit[some], NEIGHBOURS + 1)
+        other = place != own
+        return self.vote(place[other][:NEIGHBOURS], cosine[other][:NEIGHBOURS])
+
+    def queries(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(terms, unit weights) of each text."""
+        row, h, tf = _counted(texts, self.beginnings)
+        at = np.minimum(np.searchsorted(self.terms, h), max(0, len(self.terms) - 1))
+        own = self.terms[at] == h if len(self.terms) else np.zeros(len(h), bool)
+        row, at, w = row[own], at[own], (1 + np.log(tf[own])) * (self.weight[at[own]] if len(self.terms) else 1.0)
+        bounds = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            yield at[lo:hi], w[lo:hi] / np.sqrt(w[lo:hi] @ w[lo:hi]) if hi > lo else w[lo:hi]
+
+    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list, list[float], list[int]]:
+        """Probability, and ids, cosines and labels of the nearest."""
         if not len(terms) or not len(self.votes):
-            return self.blank
-        return float(np.interp(self._vote(terms, tf), self.votes, self.levels))
+            return self.share, [], [], []
+        place, cosine = self.index.nearest(terms, weights, NEIGHBOURS)
+        few = place[:EVIDENCE]
+        return float(np.interp(self.vote(place, cosine), self.votes, self.levels)), self.ids[few].tolist(), cosine[:EVIDENCE].tolist(), self.labels[few].tolist()
 
-    def evidence(self, terms: np.ndarray, tf: np.ndarray, n: int = 5) -> list[tuple[int, float, int]]:
-        """(example id, cosine, label) of the nearest examples."""
-        position, cosine = self.index.nearest(terms, self.unit(terms, tf), n) if len(terms) else ([], [])
-        return [(self.ids[p], float(c), int(self.index.labels[p])) for p, c in zip(position, cosine, strict=True)]
 
-
-def _monotone(votes: np.ndarray, labels: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+def monotone(votes: np.ndarray, labels: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
     """Vote levels and probabilities that rise with them, pooled and smoothed."""
     order = np.argsort(votes, kind="stable")
     pools: list[list[float]] = []  # sum of labels, count, sum of votes
@@ -188,50 +247,70 @@ def _monotone(votes: np.ndarray, labels: np.ndarray, share: float) -> tuple[np.n
     return np.array([p[2] / p[1] for p in pools]), np.maximum.accumulate(np.array(level)) if level else np.zeros(0)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame, Model]:
-    """Terms, the vectors of all documents, and the model.  docs: (id, text); labels: (id, toxic)."""
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """The calibrated model.  docs: (id, text); labels: (id, toxic)."""
+    spark = docs.sparkSession
     usable = labels.filter("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = keep(usable.orderBy(F.xxhash64("id"), "id").limit(EXAMPLES).withColumnRenamed("id", "_id"), "labelled")
-    small = F.broadcast(sample)  # at most EXAMPLES rows of two numbers
-    shown = docs.join(small, F.col("id") == F.col("_id")).select("text", F.col("toxic").cast("long").alias("toxic"))
+    shown = docs.join(F.broadcast(sample), F.col("id") == F.col("_id"))  # at most EXAMPLES rows of two numbers
+    shown = keep(shown.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")), "examples")
     rows, toxic = shown.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    counts = shown.mapInArrow(_counted, "h bigint, n bigint, t bigint").groupBy("h").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    telling = counts.withColumn("g", _ratio(F.col("n").cast("double"), F.col("t").cast("double"), rows, toxic)).filter(F.col("g") >= EVIDENCE)
-    best = telling.orderBy(F.desc("g"), "h").limit(TERMS).collect() if toxic else []
-    terms = np.sort(np.array([r.h for r in best], np.int64).view(np.uint64))
+    counts = shown.select("text", F.col("toxic").cast("long")).mapInArrow(_beginnings, "h bigint, n bigint, t bigint").groupBy("h").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    some = counts.filter(F.col("t") * rows > F.col("n") * toxic).toArrow() if toxic else None  # bounded by the examples
+    beginnings = np.zeros(0, np.uint64)
+    if some is not None:
+        n, t = (some.column(c).to_numpy() for c in ("n", "t"))
+        beginnings = np.sort(some.column("h").to_numpy().view(np.uint64)[ratio(n, t, rows, toxic) >= TELLING])
     kind = docs.schema["id"].dataType.simpleString()
-    vectors = keep(docs.mapInArrow(_vectors(terms), f"id {kind}, terms array<int>, tf array<int>"), "vectors")
-    total = vectors.count()
-    df = np.zeros(len(terms))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # at most TERMS rows
-        df[r[0]] = r[1]
-    idf = np.log((1 + total) / (1 + df)) + 1
-    found = vectors.join(small, F.col("id") == F.col("_id")).select("id", "terms", "tf", "toxic").orderBy("id").collect()  # EXAMPLES rows
-    examples = [(r.id, np.array(r.terms, np.int64), np.array(r.tf, np.float64), r.toxic) for r in found]
-    return terms, vectors, Model(idf, examples)
+    found = shown.select("id", "toxic", "text").mapInArrow(_vectors(beginnings), f"id {kind}, toxic int, h array<bigint>, tf array<int>").orderBy("id").toArrow()  # EXAMPLES rows
+    h, tf = (found.column(c).combine_chunks() for c in ("h", "tf"))
+    at = np.concatenate([[0], np.cumsum(h.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64) if len(h) else np.zeros(1, np.int64)
+    model = Model(np.array(found.column("id").to_pylist()), found.column("toxic").to_numpy().astype(np.int64), at, h.flatten().to_numpy().view(np.uint64), tf.flatten().to_numpy(), beginnings)
+    df = np.zeros(len(model.terms))
+    if len(model.terms):
+        seen = docs.select("text").mapInArrow(_document_frequencies(model.terms, beginnings), "t int, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+        df[seen.column("t").to_numpy()] = seen.column("n").to_numpy()
+    model.weigh(df, docs.count())
+    shared = spark.sparkContext.broadcast(model)  # bounded by EXAMPLES and their words
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shared.value.left_out(i) for i in batch.column(0).to_pylist()], pa.float64())], names=["id", "vote"])
+
+    if len(model.terms):
+        votes = spark.range(rows).mapInArrow(leave, "id bigint, vote double").orderBy("id").toArrow().column("vote").to_numpy()
+        model.votes, model.levels = monotone(votes, model.labels, model.share)
+    return model
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, score) of all documents.  docs: (id, text); labels: (id, toxic)."""
-    _, vectors, model = fit(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES and TERMS
+    """(id, score, evidence_ids, evidence_cosines, evidence_toxic) of all documents.  docs: (id, text); labels: (id, toxic)."""
+    model = fit(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES and their words
+    kind = docs.schema["id"].dataType.simpleString()
+    arrow = pa.schema([("score", pa.float64()), ("cosines", pa.list_(pa.float64())), ("toxic", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, float] = {}
+        known: dict[bytes, tuple] = {}  # copies are asked once
         for batch in batches:
-            out = []
-            (terms, t_at), (tf, _) = ((c.flatten().to_numpy(), c.offsets.to_numpy() - c.offsets[0].as_py()) for c in (batch.column(1), batch.column(2)))
-            for lo, hi in zip(t_at[:-1].tolist(), t_at[1:].tolist(), strict=True):
-                key = terms[lo:hi].tobytes() + tf[lo:hi].tobytes()
-                if key not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    known[key] = shared.value.score(terms[lo:hi].astype(np.int64), tf[lo:hi].astype(np.float64))
-                out.append(known[key])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["id", "score"])
-
-    kind = vectors.schema["id"].dataType.simpleString()
-    return vectors.mapInArrow(run, f"id {kind}, score double")
+            for lo, hi in parts(batch.column(1), 2 << 20):
+                texts = batch.column(1).slice(lo, hi - lo)
+                out = []
+                for text, query in zip(texts, shared.value.queries(texts), strict=True):
+                    key = hashlib.md5((text.as_py() or "").encode()).digest()
+                    if key not in known:
+                        if len(known) > 20_000:
+                            known.clear()
+                        known[key] = shared.value.score(*query)
+                    out.append(known[key])
+                ids = batch.column(0).slice(lo, hi - lo)
+                scores, near, cosines, toxic = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(scores, arrow.field(0).type), pa.array(near, pa.list_(ids.type)), pa.array(cosines, arrow.field(1).type), pa.array(toxic, arrow.field(2).type)],
+                    names=["id", "score", "evidence_ids", "evidence_cosines", "evidence_toxic"],
+                )
+
+    return docs.mapInArrow(run, f"id {kind}, score double, evidence_ids array<{kind}>, evidence_cosines array<double>, evidence_toxic array<int>")
 
 
 def held_out(doc_id: str) -> F.Column:
@@ -240,8 +319,8 @@ def held_out(doc_id: str) -> F.Column:
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A toxicity score of every document, learned from labels outside the held-out quarter."""
+    """A toxicity score of every document, learned from labels outside the held-out quarter, with its nearest examples."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out("doc_id")).select(F.col("doc_id").alias("id"), "toxic")
     found = score(docs, labels).withColumnRenamed("id", "doc_id")
-    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence_ids", "evidence_cosines", "evidence_toxic")
