@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,52 +147,51 @@ class BlockMaxIndex:
         place[self.order] = np.arange(size)
         self.size, self.blocks = size, -(-size // BLOCK)
         key = np.lexsort((place[owner], terms))
-        self.place, self.weight, term = place[owner][key].astype(np.int32), weights[key], terms[key]
-        block = self.place // BLOCK
+        term, block = terms[key], place[owner][key] // BLOCK
+        self.place, self.weight = place[owner][key].astype(np.uint16 if size <= 1 << 16 else np.int32), weights[key].astype(np.float32)
         fresh = np.ones(len(key), bool)
         fresh[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         first = np.flatnonzero(fresh)
-        self.cell = np.append(first, len(key))  # first posting of each cell
-        self.block = block[first].astype(np.int32)
+        self.cell = np.append(first, len(key)).astype(np.int32)  # first posting of each cell
         self.largest = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
-        self.term = np.searchsorted(term[first], np.arange(n_terms + 1))  # first cell of each term
+        self.term = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)  # first cell of each term
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(places, cosines) of the k nearest that share a term."""
-        n = self.term[terms + 1] - self.term[terms]
-        cells, by = _spread(self.term[terms], n), np.repeat(weights, n)
-        bound = np.bincount(self.block[cells], self.largest[cells] * by, self.blocks)
-        rank = np.empty(self.blocks, np.int64)
+        start = self.term[terms]
+        n = self.term[terms + 1] - start
+        cells, by = _spread(start, n), np.repeat(weights, n)
+        block = self.place[self.cell[cells]] // BLOCK
+        bound = np.bincount(block, self.largest[cells] * by, self.blocks) + 1e-6  # weights have 24 bits
         order = np.argsort(-bound, kind="stable")
-        rank[order] = np.arange(self.blocks)
         place, cosine = np.zeros(0, np.int64), np.zeros(0)
-        lo, step = 0, 4
-        while lo < self.blocks and bound[order[lo]] > 0:
-            least = cosine[-1] - 1e-12 if len(cosine) == k else 0.0
-            hi = lo + int(np.searchsorted(-bound[order[lo : lo + step]], -least, "right"))
-            if hi == lo:
-                break
-            own = (rank[self.block[cells]] >= lo) & (rank[self.block[cells]] < hi)
-            count = self.cell[cells[own] + 1] - self.cell[cells[own]]
-            at = _spread(self.cell[cells[own]], count)
+        lo, hi = 0, min(8, self.blocks)
+        while lo < hi:
+            asked = np.zeros(self.blocks, bool)
+            asked[order[lo:hi]] = True
+            own = asked[block]
+            some = cells[own]
+            first = self.cell[some]
+            count = self.cell[some + 1] - first
+            at = _spread(first, count)
             found = np.bincount(self.place[at], self.weight[at] * np.repeat(by[own], count), self.size)
             new = np.flatnonzero(found > 0)
             place, cosine = np.concatenate([place, new]), np.concatenate([cosine, found[new]])
             best = np.lexsort((place, -cosine))[:k]
             place, cosine = place[best], cosine[best]
-            lo, step = hi, step * 2
+            least = cosine[-1] if len(cosine) == k else 0.0
+            lo, hi = hi, max(hi, int(np.searchsorted(-bound[order], -least, "right")))
         return place, cosine
 
 
 class Model:
-    """The index with its term weights and, once calibrated, its probabilities."""
+    """The index with its term weights."""
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, at: np.ndarray, h: np.ndarray, tf: np.ndarray, beginnings: np.ndarray):
         self.beginnings = beginnings
         self.terms, self.term = np.unique(h, return_inverse=True)
         self.at, self.tf, self.ids, self.labels = at, tf, ids, labels
         self.share = float(labels.mean()) if len(labels) else 0.0
-        self.votes, self.levels = np.zeros(0), np.zeros(0)
 
     def weigh(self, df: np.ndarray, documents: int) -> None:
         owner = np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
@@ -200,18 +200,17 @@ class Model:
         self.weight = (np.log((1 + documents) / (1 + df)) + 1) * (1 + ratio(n, t, len(self.labels), int(self.labels.sum())))
         w = (1 + np.log(self.tf)) * self.weight[self.term]
         norm = np.sqrt(np.bincount(owner, w * w, len(self.at) - 1))
-        self.unit = w / norm[owner]
-        self.index = BlockMaxIndex(self.at, self.term, self.unit, len(self.terms))
+        self.index = BlockMaxIndex(self.at, self.term, w / norm[owner], len(self.terms))
         self.ids, self.labels = self.ids[self.index.order], self.labels[self.index.order]
+        del self.at, self.term, self.tf, self.index.order  # what is shipped is the index
 
     def vote(self, place: np.ndarray, cosine: np.ndarray) -> float:
         near = 1 / (NEAR + np.maximum(1 - cosine, 0))
         return float((near @ self.labels[place] + PRIOR * self.share) / (near.sum() + PRIOR))
 
-    def left_out(self, own: int) -> float:
-        """The vote of an example's neighbours; own: its place in the index."""
-        some = slice(self.at[self.index.order[own]], self.at[self.index.order[own] + 1])
-        place, cosine = self.index.nearest(self.term[some], self.unit[some], NEIGHBOURS + 1)
+    def left_out(self, terms: np.ndarray, weights: np.ndarray, own: int) -> float:
+        """The vote of an example's neighbours without itself; own: its place in the index."""
+        place, cosine = self.index.nearest(terms, weights, NEIGHBOURS + 1)
         other = place != own
         return self.vote(place[other][:NEIGHBOURS], cosine[other][:NEIGHBOURS])
 
@@ -225,13 +224,13 @@ class Model:
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             yield at[lo:hi], w[lo:hi] / np.sqrt(w[lo:hi] @ w[lo:hi]) if hi > lo else w[lo:hi]
 
-    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list, list[float], list[int]]:
-        """Probability, and ids, cosines and labels of the nearest."""
-        if not len(terms) or not len(self.votes):
+    def score(self, terms: np.ndarray, weights: np.ndarray, votes: np.ndarray, levels: np.ndarray) -> tuple[float, list, list[float], list[int]]:
+        """Probability, and ids, cosines and labels of the nearest.  votes, levels: the calibration."""
+        if not len(terms) or not len(votes):
             return self.share, [], [], []
         place, cosine = self.index.nearest(terms, weights, NEIGHBOURS)
         few = place[:EVIDENCE]
-        return float(np.interp(self.vote(place, cosine), self.votes, self.levels)), self.ids[few].tolist(), cosine[:EVIDENCE].tolist(), self.labels[few].tolist()
+        return float(np.interp(self.vote(place, cosine), votes, levels)), self.ids[few].tolist(), cosine[:EVIDENCE].tolist(), self.labels[few].tolist()
 
 
 def monotone(votes: np.ndarray, labels: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
@@ -247,8 +246,8 @@ def monotone(votes: np.ndarray, labels: np.ndarray, share: float) -> tuple[np.nd
     return np.array([p[2] / p[1] for p in pools]), np.maximum.accumulate(np.array(level)) if level else np.zeros(0)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The calibrated model.  docs: (id, text); labels: (id, toxic)."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, np.ndarray, np.ndarray]:
+    """The model, broadcast, and its calibration.  docs: (id, text); labels: (id, toxic)."""
     spark = docs.sparkSession
     usable = labels.filter("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = keep(usable.orderBy(F.xxhash64("id"), "id").limit(EXAMPLES).withColumnRenamed("id", "_id"), "labelled")
@@ -274,19 +273,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     shared = spark.sparkContext.broadcast(model)  # bounded by EXAMPLES and their words
 
     def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {x: i for i, x in enumerate(shared.value.ids.tolist())}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shared.value.left_out(i) for i in batch.column(0).to_pylist()], pa.float64())], names=["id", "vote"])
+            own = [place[x] for x in batch.column(0).to_pylist()]
+            votes = [shared.value.left_out(*query, i) for query, i in zip(shared.value.queries(batch.column(1)), own, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(votes, pa.float64())], names=["place", "vote"])
 
-    if len(model.terms):
-        votes = spark.range(rows).mapInArrow(leave, "id bigint, vote double").orderBy("id").toArrow().column("vote").to_numpy()
-        model.votes, model.levels = monotone(votes, model.labels, model.share)
-    return model
+    if not len(model.terms):
+        return shared, np.zeros(0), np.zeros(0)
+    spread = shown.select("id", "text").repartition(64, "id")  # some hundred examples a task
+    votes = spread.mapInArrow(leave, "place bigint, vote double").toArrow()
+    votes = votes.column("vote").to_numpy()[np.argsort(votes.column("place").to_numpy())]
+    return shared, *monotone(votes, model.labels, model.share)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(id, score, evidence_ids, evidence_cosines, evidence_toxic) of all documents.  docs: (id, text); labels: (id, toxic)."""
-    model = fit(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES and their words
+    shared, votes, levels = fit(docs, labels)
     kind = docs.schema["id"].dataType.simpleString()
     arrow = pa.schema([("score", pa.float64()), ("cosines", pa.list_(pa.float64())), ("toxic", pa.list_(pa.int32()))])
 
@@ -301,7 +304,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     if key not in known:
                         if len(known) > 20_000:
                             known.clear()
-                        known[key] = shared.value.score(*query)
+                        known[key] = shared.value.score(*query, votes, levels)
                     out.append(known[key])
                 ids = batch.column(0).slice(lo, hi - lo)
                 scores, near, cosines, toxic = zip(*out, strict=True)
