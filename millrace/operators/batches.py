@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import cascade, dedup
-from millrace.sources.shared import folder, written
+from millrace.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,7 @@ def judge(batch: DataFrame, accepted: DataFrame, known_sha1: DataFrame, t: casca
     rows = rows.withColumn("disposition", cascade.disposition(first))
     rows = rows.withColumn("_had", had).drop("_page", "_sha1", "_k", "_dhash", "_bits", "_n")
     if mode == "strict":
-        return _in_order(rows, t, remaining)
+        return _in_order(rows, t, remaining, near)
     passing = F.col("disposition") == cascade.ACCEPTED
     # the quota comes before the text verdict; a batch is of bounded size, so one window numbers it
     before = Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,7 +70,7 @@ def _has_size() -> F.Column:
     return F.coalesce((F.col("w") > 0) & (F.col("h") > 0), F.lit(False))
 
 
-def _in_order(rows: DataFrame, t: cascade.Thresholds, remaining: int) -> DataFrame:
+def _in_order(rows: DataFrame, t: cascade.Thresholds, remaining: int, near: str = "exact") -> DataFrame:
     """A batch's passing rows one after the other, each against those before it.
 
     A row that one rule drops counts for no other, so the rules don't split into
@@ -78,7 +78,13 @@ def _in_order(rows: DataFrame, t: cascade.Thresholds, remaining: int) -> DataFra
     """
     def fold(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("ord").reset_index(drop=True)
-        sha1, dhash, pages, taken, out = set(), set(), {}, 0, []
+        sha1, dhash, bits, pages, taken, out = set(), set(), [], {}, 0, []
+
+        def close(r) -> bool:
+            if near == "hamming":
+                return not pd.isna(r.bits) and any((int(r.bits) ^ b).bit_count() <= dedup.NEAR for b in bits)
+            return bool(r.dhash) and r.dhash in dhash
+
         for r in batch.itertuples(index=False):
             verdict = r.disposition
             if verdict == cascade.ACCEPTED:
@@ -87,7 +93,7 @@ def _in_order(rows: DataFrame, t: cascade.Thresholds, remaining: int) -> DataFra
                     verdict = "per_page_limit"
                 elif r.sha1 and r.sha1 in sha1:
                     verdict = "duplicate_sha1"
-                elif r.dhash and r.dhash in dhash:
+                elif close(r):
                     verdict = "near_duplicate"
                 elif taken >= remaining:
                     verdict = "quota_dropped"
@@ -98,23 +104,25 @@ def _in_order(rows: DataFrame, t: cascade.Thresholds, remaining: int) -> DataFra
                 else:
                     sha1.add(r.sha1)
                     dhash.add(r.dhash)
+                    if not pd.isna(r.bits):
+                        bits.append(int(r.bits))
                     pages[r.page_url] = page + 1
                     taken += 1
             out.append(verdict)
         return pd.DataFrame({"_ord": batch.ord, "_verdict": out})
 
-    small = rows.select("ord", "disposition", "page_url", "sha1", "dhash", F.col("_had").cast("long").alias("_had"), "ocr_ok", _has_size().alias("sized"))
+    small = rows.select("ord", "disposition", "page_url", "sha1", "dhash", F.col("bits").cast("string").alias("bits"), F.col("_had").cast("long").alias("_had"), "ocr_ok", _has_size().alias("sized"))
     verdicts = small.groupBy().applyInPandas(fold, "_ord long, _verdict string")
     return rows.join(verdicts, F.col("ord") == F.col("_ord")).withColumn("disposition", F.col("_verdict")).drop("_had", "_ord", "_verdict")
 
 
-def run(spark: SparkSession, candidates: DataFrame, known_sha1: DataFrame, t: cascade.Thresholds = cascade.Thresholds(), limits: Limits = Limits(), mode: str = "snapshot", near: str = "exact", state: str | None = None) -> DataFrame:
-    """All batches' rows with ``batch`` and ``disposition``; resumes from ``state``.
+def run(spark: SparkSession, candidates: DataFrame, known_sha1: DataFrame, t: cascade.Thresholds = cascade.Thresholds(), limits: Limits = Limits(), mode: str = "snapshot", near: str = "exact", *, state: str) -> DataFrame:
+    """All batches' rows with ``batch`` and ``disposition``; resumes from ``state``, the run's own folder.
 
     candidates are numbered by ``ord`` from 1 in the order they are taken.
     """
-    state = state or f"{folder(spark).rstrip('/')}/millrace/loop"
-    candidates = written(candidates.withColumn("batch", (F.floor((F.col("ord") - 1) / limits.batch_size) + 1).cast("int")), "candidates")
+    numbered = candidates.withColumn("batch", (F.floor((F.col("ord") - 1) / limits.batch_size) + 1).cast("int"))
+    candidates = written(numbered, "candidates", by="batch")  # a batch reads its own folder
     last = candidates.agg(F.max("batch")).first()[0] or 0
     began = time.monotonic()
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(state)

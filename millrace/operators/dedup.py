@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,24 +67,28 @@ def orphan_raws(orphaned: DataFrame, raws: DataFrame, name: str = "file_name") -
     return some.join(stems, stem(F.col(name)) == F.col("_stem"), "left_semi")
 
 
-#: Bits of five bands that cover 64.
-BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Bits by which near pictures differ at most.
+NEAR = 4
 
 
-def near_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, bits: str = "bits", most: int = 4) -> DataFrame:
+def near_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, bits: str = "bits", most: int = NEAR) -> DataFrame:
     """(left id, right id, distance) of 64-bit hashes that differ in ``most`` bits or fewer.
 
-    With at most four differing bits one of five bands is equal: an equality
-    join on (band, value) proposes, the bit count decides.  Equal hashes are
+    With at most ``most`` differing bits, as many of eight bytes differ at most:
+    an equality join on the others, for each way to choose them, proposes, and the
+    bit count decides.  For four bits that is 70 keys of 32 bits a hash, so that
+    unlike hashes seldom meet, however many there are.  Equal hashes are
     folded first, so a hot hash is one row on either side; ids are then those of
     the hashes' lowest holders, and ``members`` maps the rest.
     """
-    if most >= len(BANDS):
-        raise ValueError("five bands find distances up to 4")
+    if most >= 8:
+        raise ValueError("eight bytes find distances up to 7")
+    ways = [sum(0xFF << (8 * b) for b in kept) for kept in itertools.combinations(range(8), 8 - most)]
+    masks = [m - (1 << 64) if m >> 63 else m for m in ways]
 
     def banded(df: DataFrame, side: str, name: str) -> DataFrame:
         once = df.groupBy(F.col(bits).alias(f"{side}_bits")).agg(F.min(name).alias(f"{side}_id"))
-        parts = F.array(*(F.struct(F.lit(i).alias("b"), F.shiftrightunsigned(F.col(f"{side}_bits"), s).bitwiseAND(F.lit((1 << n) - 1).cast("long")).alias("v")) for i, (s, n) in enumerate(BANDS)))
+        parts = F.transform(F.lit(masks).cast("array<bigint>"), lambda m, i: F.struct(i.alias("b"), F.col(f"{side}_bits").bitwiseAND(m).alias("v")))
         return once.select("*", F.explode(parts).alias(f"{side}_band"))
 
     a, b = banded(left, "l", left_id), banded(right, "r", right_id)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text, urls
+from millrace.operators import graph
 
 _QUIET = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 _IMG = r"(?is)(<img\s[^>]*>)"
@@ -66,6 +67,19 @@ def directory_candidates(pages: DataFrame, site: str, url: str = "url", html: st
     return rows.select(F.lit(site).alias("source"), F.col(url).alias("page_url"), "image_url", urls.source_id(image).alias("source_id"), "title", hull.alias("has_hull_in_title"), "ord")
 
 
+def crawl(pages: DataFrame, roots: DataFrame, site: str, max_found: int = 500) -> DataFrame:
+    """Candidates of the ship pages that the roots reach by links over landed pages.
+
+    pages: url, html; roots: url.  Links to other than pages, and to the site's
+    blocked paths, are not followed.
+    """
+    target = F.col("absolute")
+    steps = links(pages.select("url", "html")).filter(urls.is_html_page(target) & ~urls.is_blocked_path(target, site))
+    seen = graph.reach(steps.select(F.col("url").alias("src"), target.alias("dst")).distinct(), roots.select("url"), max_found=max_found)
+    reached = pages.join(seen.select("node"), F.col("url") == F.col("node"), "left_semi").filter(urls.is_ship_page(F.col("url")))
+    return directory_candidates(reached, site)
+
+
 def search_results(pages: DataFrame, html: str = "html") -> DataFrame:
     """Picture, page and title of the JSON objects in a search page's ``m`` attributes.
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text
+from millrace.sources.shared import written
 
 #: Ranges that a table is dealt over to number its rows.
 RANGES = 256
@@ -30,6 +31,7 @@ def numbered(df: DataFrame, order: list[Column], lead: Column, name: str = "posi
     if hashed:
         part = F.conv(F.substring(lead, 1, 2), 16, 10).cast("int")
     else:
+        df = written(df, "numbered")  # read three times below
         probe = df.select(F.percentile_approx(lead.cast("double"), [i / RANGES for i in range(1, RANGES)], 1000).alias("p")).first()
         cuts = sorted(set(probe.p or []))
         part = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"), lambda c: c < lead.cast("double"))) if cuts else F.lit(0)

@@ -33,11 +33,15 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_queries)
+    from millrace.plans import landed
+
+    return _queries | landed.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
+    from millrace.plans import landed
+
+    return _sql | landed.oracle_sql()
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -103,10 +107,11 @@ def url_thumbnails(spark, sf):
     return _t(spark, sf, "pages").select("page_id", urls.canonical(made).alias("canonical"))
 
 
-@_query(r"SELECT doc_id, regexp_replace(url_encode(replace(substring(text, 1, 60), chr(10), ' ')), '%2F', '/', 'g') AS encoded FROM documents")
+@_query(r"SELECT doc_id, md5(replace(url_encode(text), '%2F', '/')) AS encoded_md5, length(replace(url_encode(text), '%2F', '/')) AS n_chars FROM documents")
 def percent_encoded(spark, sf):
-    """Percent-encoded beginnings of texts."""
-    return _t(spark, sf, "documents").select("doc_id", urls.percent_encode(F.replace(F.substring("text", 1, 60), F.lit("\n"), F.lit(" "))).alias("encoded"))
+    """Percent-encoded texts, by their hash and length."""
+    encoded = _t(spark, sf, "documents").select("doc_id", urls.percent_encode(F.col("text")).alias("e"))
+    return encoded.select("doc_id", F.md5(F.col("e").cast("binary")).alias("encoded_md5"), F.length("e").cast("long").alias("n_chars"))
 
 
 @_query(f"SELECT {_HOST.format('url')} AS host, count(*) AS n FROM pages GROUP BY 1")
@@ -197,7 +202,8 @@ _HULL = "CASE c_custkey % 5 WHEN 0 THEN 'USS Example DDG-' || c_custkey WHEN 1 T
 
 
 @_query(
-    rf"""SELECT c_custkey, regexp_matches(t, '(?i)\b(?:{"|".join(text.HULL_PREFIXES)})[-\s]?\d{{1,4}}\b') AS strict, regexp_matches(t, '(?i)\b\d{{2,4}}\b.*(?:{"|".join(text.VESSEL_WORDS)})') AS loose
+    rf"""SELECT c_custkey, regexp_matches(t, '(?i)\b(?:{"|".join(text.HULL_PREFIXES)})[-\s]?\d{{1,4}}\b') AS strict, regexp_matches(t, '(?i)\b\d{{2,4}}\b.*(?:{"|".join(text.VESSEL_WORDS)})') AS loose,
+  regexp_matches(t, '(?i)\b(?:{"|".join(text.HULL_PREFIXES)})[-\s]?\d{{1,4}}\b') OR regexp_matches(t, '(?i)\b\d{{2,4}}\b.*(?:{"|".join(text.VESSEL_WORDS)})') AS title
 FROM (SELECT c_custkey, {_HULL} AS t FROM customer)"""
 )
 def hull_flags(spark, sf):
@@ -210,7 +216,7 @@ def hull_flags(spark, sf):
         .when(k % 5 == 3, F.concat(F.lit("xdd"), k.cast("string")))
         .otherwise("DD-123456 cruiser")
     )
-    return _t(spark, sf, "customer").select("c_custkey", text.has_strict_hull(title).alias("strict"), text.has_loose_hull(title).alias("loose"))
+    return _t(spark, sf, "customer").select("c_custkey", text.has_strict_hull(title).alias("strict"), text.has_loose_hull(title).alias("loose"), text.title_has_hull(title).alias("title"))
 
 
 @_query(
@@ -394,11 +400,11 @@ def content_anti_join(spark, sf):
     return dedup.against_keys(rows.filter("source <> 'src1'"), "sha1", rows.filter("source = 'src1'"), "sha1").select("doc_id")
 
 
-@_query("WITH f AS (SELECT p_partkey || '.jpg' AS file_name FROM part) SELECT file_name FROM f WHERE file_name NOT IN (SELECT l_partkey || '.jpg' FROM lineitem WHERE l_quantity > 40)")
+@_query("SELECT p_partkey || '.jpg' AS file_name FROM part WHERE p_partkey NOT IN (SELECT l_suppkey FROM lineitem)")
 def orphan_files(spark, sf):
     """File names that no accepted row has."""
     name = lambda c: F.concat(F.col(c).cast("string"), F.lit(".jpg")).alias("file_name")
-    return dedup.orphans(_t(spark, sf, "part").select(name("p_partkey")), _t(spark, sf, "lineitem").filter("l_quantity > 40").select(name("l_partkey")))
+    return dedup.orphans(_t(spark, sf, "part").select(name("p_partkey")), _t(spark, sf, "lineitem").select(name("l_suppkey")))
 
 
 @_query("WITH l AS (SELECT p_name AS title, arg_max(p_brand, p_partkey) AS image_url FROM part GROUP BY 1) SELECT p.p_partkey, l.image_url FROM part p JOIN l ON l.title = p.p_name")
@@ -619,26 +625,22 @@ def rejection_diagnosis(spark, sf):
 
 # -- graph ---------------------------------------------------------------------------
 
-_EDGES = "e AS (SELECT DISTINCT l_partkey AS s, l_suppkey + 1000000 AS d FROM lineitem WHERE l_linenumber = 1 UNION SELECT DISTINCT l_suppkey + 1000000, l_partkey FROM lineitem WHERE l_linenumber = 2)"
+_EDGES = "e AS (SELECT DISTINCT l_partkey AS s, l_suppkey + 1000000 AS d FROM lineitem UNION SELECT DISTINCT l_suppkey + 1000000, l_partkey FROM lineitem)"
 
 
-@_query(
-    f"""WITH RECURSIVE {_EDGES}, r AS (SELECT CAST(1 AS BIGINT) AS node, 0 AS depth UNION SELECT e.d, r.depth + 1 FROM r JOIN e ON e.s = r.node WHERE r.depth < 4)
-SELECT node, min(depth) AS depth FROM r GROUP BY 1"""
-)
+def _both_ways(spark, sf):
+    """Edges between parts and their suppliers."""
+    items = _t(spark, sf, "lineitem").select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + 1000000).alias("dst")).distinct()
+    return items.union(items.select("dst", "src"))
+
+
+@_query(f"WITH RECURSIVE {_EDGES}, r AS (SELECT CAST(1 AS BIGINT) AS node UNION SELECT e.d FROM r JOIN e ON e.s = r.node) SELECT node FROM r")
 def bfs_reach(spark, sf):
-    """What a part reaches by suppliers within four steps."""
-    items = _t(spark, sf, "lineitem")
-    there = items.filter("l_linenumber = 1").select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + 1000000).alias("dst"))
-    back = items.filter("l_linenumber = 2").select((F.col("l_suppkey") + 1000000).alias("src"), F.col("l_partkey").alias("dst"))
-    edges = there.union(back).distinct()
-    roots = spark.range(1, 2).select(F.col("id").alias("node"))
-    return graph.reach(edges, roots, max_depth=4).select("node", "depth")
+    """All parts and suppliers that part 1 is linked with, over any number of steps."""
+    return graph.reach(_both_ways(spark, sf), spark.range(1, 2).select(F.col("id").alias("node"))).select("node")
 
 
-@_query(f"WITH {_EDGES} SELECT DISTINCT d AS node FROM e WHERE s <= 10")
+@_query(f"WITH {_EDGES} SELECT DISTINCT d AS node FROM e WHERE s IN (SELECT p_partkey FROM part)")
 def one_hop(spark, sf):
-    """Direct neighbours of the first parts."""
-    items = _t(spark, sf, "lineitem")
-    there = items.filter("l_linenumber = 1").select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + 1000000).alias("dst"))
-    return graph.one_hop(there, _t(spark, sf, "part").filter("p_partkey <= 10").select("p_partkey"))
+    """Direct neighbours of all parts."""
+    return graph.one_hop(_both_ways(spark, sf), _t(spark, sf, "part").select("p_partkey"))

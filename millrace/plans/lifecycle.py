@@ -75,9 +75,11 @@ def run(spark: SparkSession, candidates: DataFrame, landed: DataFrame, history:
     """
     began = time.monotonic()
     fresh = dedup.against_history(candidates, history, config.page_rule)
-    rows = ordered(fresh, config).join(describe(landed), F.col("image_url") == F.col("_url"), "left").drop("_url")
+    chosen = written(ordered(fresh, config), "ordered")
+    wanted = landed.join(chosen.select(F.col("image_url").alias("_wanted")).distinct(), F.col("image_url") == F.col("_wanted"), "left_semi")  # only these are decoded
+    rows = chosen.join(describe(wanted), F.col("image_url") == F.col("_url"), "left").drop("_url")
     rows = rows.withColumn("error_type", F.coalesce("error_type", F.lit("NotLanded"))).withColumn("sha1", F.coalesce("sha1", F.lit(""))).withColumn("dhash", F.coalesce("dhash", F.lit("")))
-    judged = batches.run(spark, rows, history.select("sha1"), config.thresholds, config.limits, config.mode, config.near, f"{config.output}/state")
+    judged = batches.run(spark, rows, history.select("sha1"), config.thresholds, config.limits, config.mode, config.near, state=f"{config.output}/state")
     accepted = judged.filter(F.col("disposition") == cascade.ACCEPTED)
     stem = text.file_stem(F.col("source"), F.col("source_id"), F.col("title"))
     table = accepted.select("ord", *writers.accepted_row(F.col("source"), F.col("source_id"), stem))

@@ -47,9 +47,37 @@ def report(judged: DataFrame, target: int, seconds: float, top_reasons: int = 5)
     )
 
 
-def markdown(row) -> str:
-    """The report's row as Markdown."""
-    lines = ["# Run report", "", "| measure | value |", "|---|---|"]
+def stamp(at: Column) -> Column:
+    """A time as the state and the report write it."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def state(judged: DataFrame, at: Column) -> DataFrame:
+    """The state export, one row: what was accepted (at most the target), counts by reason and page, failed URLs.
+
+    judged: disposition, sha1, dhash, page_url, image_url, fast_path, ocr_ok.
+    """
+    ok, failed = F.col("disposition") == "accepted", F.col("disposition").startswith("download_failed")
+    key = lambda c: F.sort_array(F.collect_set(F.when(ok & (F.col(c) != ""), F.col(c)))).alias(f"accepted_{c}")
+    one = judged.agg(
+        F.count_if(ok).alias("accepted_count"),
+        key("sha1"),
+        key("dhash"),
+        F.create_map(F.lit("passed"), F.count_if(ok & F.col("ocr_ok")), F.lit("fast_path"), F.count_if(ok & F.col("fast_path"))).alias("ocr_stats"),
+        F.sort_array(F.collect_set(F.when(failed, F.col("image_url")))).alias("failed_urls"),
+    )
+    pairs = lambda df, c: df.groupBy(F.col(c).alias("k")).agg(F.count(F.lit(1)).alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "n")))).alias("m"))
+    reasons = pairs(judged.filter(~ok), "disposition").withColumnRenamed("m", "rejection_counts")
+    pages = pairs(judged.filter(ok & (F.col("page_url") != "")), "page_url").withColumnRenamed("m", "accepted_page_counts")
+    out = one.withColumn("_one", F.lit(1))
+    for more in (reasons, pages):  # a row each
+        out = out.join(more.withColumn("_k", F.lit(1)), F.col("_one") == F.col("_k")).drop("_k")
+    return out.drop("_one").withColumn("last_save", stamp(at))
+
+
+def markdown(row, at: str = "") -> str:
+    """The report's row as Markdown; ``at``: its time stamp."""
+    lines = ["# Run report", *(["", f"Made at {at}"] if at else []), "", "| measure | value |", "|---|---|"]
     lines += [f"| {k} | {v} |" for k, v in row.asDict().items() if k != "rejection_top"]
     lines += ["", "| rejected for | rows |", "|---|---|", *(f"| {r.reason} | {r.n} |" for r in row.rejection_top)]
     return "\n".join(lines) + "\n"

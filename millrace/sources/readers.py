@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,8 +59,9 @@ def history_keys(rows: DataFrame) -> DataFrame:
 def picture_hashes(spark: SparkSession, root: str, exclude: str | None = None) -> DataFrame:
     """SHA-1 of the jpg and png files in the known folders one level below ``root``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{jpg,png}").load(root)
-    pattern = "/[^/]+/(?:" + "|".join(PICTURE_FOLDERS) + ")/[^/]+$"
-    files = files.filter(F.col("path").rlike(pattern))
+    scheme = r"^[A-Za-z0-9+.\-]+:(//[^/]*)?"
+    pattern = "^" + re.escape(re.sub(scheme, "", root.rstrip("/"))) + "/[^/]+/(?:" + "|".join(PICTURE_FOLDERS) + ")/[^/]+$"
+    files = files.filter(F.regexp_replace("path", scheme, "").rlike(pattern))
     if exclude:
         files = files.filter(~F.col("path").contains(exclude.rstrip("/") + "/"))
     return files.select("path", images.file_sha1(F.col("content")).alias("sha1"))
@@ -84,5 +87,6 @@ def state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def state_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshots as they land in a folder, one JSON object a line, with their time."""
-    return spark.readStream.schema("ts timestamp, accepted_count bigint, rejection_counts map<string,bigint>").json(folder)
+    """Snapshots as they land in a folder, one JSON object a line, with their time; a half-written line gives no row."""
+    rows = spark.readStream.schema("ts timestamp, accepted_count bigint, rejection_counts map<string,bigint>").json(folder)
+    return rows.filter("ts IS NOT NULL AND accepted_count IS NOT NULL")

@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.sources import readers
+
 LOW, STREAK, STALL_SECONDS = 5, 2, 300.0
 _OUT = "run string, ts timestamp, accepted_count bigint, new_count bigint, elapsed double, streak int, low_yield_alert boolean, stall_alert boolean"
 
@@ -86,3 +88,21 @@ def _follow(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame
 def follow(snapshots: DataFrame) -> DataFrame:
     """A stream of (run, ts, accepted_count) with its alerts, state kept per run."""
     return snapshots.groupBy("run").applyInPandasWithState(_follow, _OUT, "last double, count bigint, streak int, moved double, told boolean", "append", "NoTimeout")
+
+
+def alerts(followed: DataFrame) -> DataFrame:
+    """(run, ts, alert): a row for each alert of a snapshot."""
+    told = F.array_compact(F.array(F.when(F.col("low_yield_alert"), "low_yield"), F.when(F.col("stall_alert"), "stall")))
+    return followed.select("run", "ts", F.explode(told).alias("alert"))
+
+
+def watch(spark: SparkSession, folder: str, out: str, checkpoint: str, run: str = "run"):
+    """Follows the snapshots that are in a folder: rows go to ``out``, a folder a micro-batch, alerts to the console."""
+
+    def one(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        for r in alerts(spark.read.parquet(f"{out}/batch={number}")).orderBy("ts").collect():  # alerts are few: each resets its streak
+            print(f"{r.ts} {r.run}: {r.alert}")
+
+    found = follow(readers.state_stream(spark, folder).withColumn("run", F.lit(run)))
+    return found.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
