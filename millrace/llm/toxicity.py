@@ -8,8 +8,9 @@ its inverse document frequency over the whole corpus, and its relevance: one and
 likelihood ratio with which it raises the label among the examples.  Words that no
 example has are outside the space.
 
-The examples stand in an inverted index of blocks.  For each term a block knows its
-largest weight there, so a query's products with them bound its cosine with any
+The examples stand in an inverted index of blocks.  Postings of rare terms are summed
+at once.  For each frequent term a block knows its largest weight there, so a query's
+products with these, and the largest sum of rare terms, bound its cosine with any
 example of the block.  Blocks are read by falling bound until no bound reaches the
 k-th best cosine found: the neighbours are exact, and they are the evidence.  Their
 labels vote by the inverse of their distance.  Votes of the examples, each left out
@@ -44,6 +45,8 @@ EXAMPLES = 8192
 PREFIXES, TELLING = (4, 5, 6, 7), 10.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: Examples that a frequent term has at least: its weights stand in a row, with a place for each example.
+FREQUENT = 128
 #: What is added to a distance before it is inverted.
 NEAR = 0.1
 #: Strength of the prior in votes and probabilities, in neighbours.
@@ -109,6 +112,30 @@ def _vectors(beginnings: np.ndarray):
     return run
 
 
+def _among(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The place of each value among sorted ones, -1 for others."""
+    if not len(sorted_values):
+        return np.full(len(x), -1)
+    at = np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)
+    return np.where(sorted_values[at] == x, at, -1)
+
+
+def _known(texts: pa.Array, terms: np.ndarray, beginnings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, occurrences) of the terms of texts, sorted by both."""
+    words = lex(ALNUM, texts, PREFIXES if len(beginnings) else ())
+    width = max(1, len(terms))
+    at = _among(terms, words.hash)
+    keys = [words.row[at >= 0] * width + at[at >= 0]]
+    heads = np.zeros(1 << 16, bool)
+    heads[beginnings >> np.uint64(48)] = True
+    for some in words.prefix.values():
+        maybe = np.flatnonzero(heads[some >> np.uint64(48)])  # few beginnings are terms
+        own = maybe[_among(beginnings, some[maybe]) >= 0]
+        keys.append(words.row[own] * width + _among(terms, some[own]))
+    key, tf = np.unique(np.concatenate(keys), return_counts=True)
+    return key // width, key % width, tf
+
+
 def _document_frequencies(terms: np.ndarray, beginnings: np.ndarray):
     """text -> numbers of terms and of texts that have them, summed over a task."""
 
@@ -116,9 +143,7 @@ def _document_frequencies(terms: np.ndarray, beginnings: np.ndarray):
         n = np.zeros(len(terms), np.int64)
         for batch in batches:
             for lo, hi in parts(batch.column(0), 2 << 20):
-                _, h, _ = _counted(batch.column(0).slice(lo, hi - lo), beginnings)
-                at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
-                n += np.bincount(at[terms[at] == h], minlength=len(terms))
+                n += np.bincount(_known(batch.column(0).slice(lo, hi - lo), terms, beginnings)[1], minlength=len(terms))
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], names=["t", "n"])
 
@@ -128,13 +153,12 @@ def _document_frequencies(terms: np.ndarray, beginnings: np.ndarray):
 class BlockMaxIndex:
     """Exact cosine neighbours among unit vectors, by blocks with largest weights.
 
-    Vector i has terms[at[i]:at[i + 1]] with weights.  Postings are sorted by term
-    and place; a cell is a term's postings in a block.
+    Vector i has terms[at[i]:at[i + 1]] with weights.  Postings are sorted by term.
     """
 
     def __init__(self, at: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int):
         size = len(at) - 1
-        owner = np.repeat(np.arange(size), np.diff(at))
+        owner = np.repeat(np.arange(size, dtype=np.int32), np.diff(at))
         # alike ones in a block: by their commonest term, which tells the language, then by the heaviest
         spread = np.bincount(terms, minlength=n_terms)
         common, heaviest = np.full(size, -1), np.full(size, -1)
@@ -143,40 +167,51 @@ class BlockMaxIndex:
             last = np.flatnonzero(np.append(owner[order][1:] != owner[order][:-1], True)) if len(owner) else np.zeros(0, int)
             out[owner[order][last]] = terms[order][last]
         self.order = np.lexsort((np.arange(size), heaviest, common))
-        place = np.empty(size, np.int64)
+        place = np.empty(size, np.int32)
         place[self.order] = np.arange(size)
         self.size, self.blocks = size, -(-size // BLOCK)
-        key = np.lexsort((place[owner], terms))
-        term, block = terms[key], place[owner][key] // BLOCK
-        self.place, self.weight = place[owner][key].astype(np.uint16 if size <= 1 << 16 else np.int32), weights[key].astype(np.float32)
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        first = np.flatnonzero(fresh)
-        self.cell = np.append(first, len(key)).astype(np.int32)  # first posting of each cell
-        self.largest = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
-        self.term = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)  # first cell of each term
+        key = np.argsort(terms, kind="stable")
+        self.place = place[owner[key]].astype(np.uint16 if size <= 1 << 16 else np.int32)
+        self.weight = weights[key].astype(np.float32)
+        self.term = np.append(0, np.cumsum(spread)).astype(np.int32)  # first posting of each term
+        self.rows = self.largest = None
+
+    def _unpack(self) -> None:
+        """Rows of weights of the frequent terms, and their largest in each block; not shipped."""
+        frequent = np.flatnonzero(np.diff(self.term) >= FREQUENT)
+        self.row = np.full(len(self.term) - 1, -1, np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), self.blocks, BLOCK), np.float32)
+        n = self.term[frequent + 1] - self.term[frequent]
+        some = _spread(self.term[frequent], n)
+        self.rows[np.repeat(np.arange(len(frequent)), n), self.place[some] // BLOCK, self.place[some] % BLOCK] = self.weight[some]
+        self.largest = self.rows.max(axis=2)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rows": None, "largest": None, "row": None}
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(places, cosines) of the k nearest that share a term."""
-        start = self.term[terms]
-        n = self.term[terms + 1] - start
-        cells, by = _spread(start, n), np.repeat(weights, n)
-        block = self.place[self.cell[cells]] // BLOCK
-        bound = np.bincount(block, self.largest[cells] * by, self.blocks) + 1e-6  # weights have 24 bits
+        if self.rows is None:
+            self._unpack()
+        row = self.row[terms]
+        rare, row, by = terms[row < 0], row[row >= 0], weights[row >= 0].astype(np.float32)
+        n = self.term[rare + 1] - self.term[rare]
+        at = _spread(self.term[rare], n)
+        sums = np.bincount(self.place[at], self.weight[at] * np.repeat(weights[self.row[terms] < 0], n), self.blocks * BLOCK)
+        bound = sums.reshape(self.blocks, BLOCK).max(axis=1) + by @ self.largest[row] + 1e-5 if self.blocks else sums  # weights have 24 bits
         order = np.argsort(-bound, kind="stable")
         place, cosine = np.zeros(0, np.int64), np.zeros(0)
         lo, hi = 0, min(8, self.blocks)
         while lo < hi:
-            asked = np.zeros(self.blocks, bool)
-            asked[order[lo:hi]] = True
-            own = asked[block]
-            some = cells[own]
-            first = self.cell[some]
-            count = self.cell[some + 1] - first
-            at = _spread(first, count)
-            found = np.bincount(self.place[at], self.weight[at] * np.repeat(by[own], count), self.size)
+            asked = np.sort(order[lo:hi])
+            own = (asked[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            found = sums[own] + by @ self.rows[row[:, None], asked].reshape(len(row), len(own))
             new = np.flatnonzero(found > 0)
-            place, cosine = np.concatenate([place, new]), np.concatenate([cosine, found[new]])
+            if len(new) > 4 * k:
+                new = new[np.argpartition(-found[new], 4 * k)[: 4 * k]] if found[new].min() < found[new].max() else new
+                new = np.flatnonzero(found >= found[new].min())  # with all that equal the last of them
+            place, cosine = np.concatenate([place, own[new]]), np.concatenate([cosine, found[new]])
             best = np.lexsort((place, -cosine))[:k]
             place, cosine = place[best], cosine[best]
             least = cosine[-1] if len(cosine) == k else 0.0
@@ -189,18 +224,20 @@ class Model:
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, at: np.ndarray, h: np.ndarray, tf: np.ndarray, beginnings: np.ndarray):
         self.beginnings = beginnings
-        self.terms, self.term = np.unique(h, return_inverse=True)
+        self.terms = np.unique(h)
+        self.term = np.searchsorted(self.terms, h).astype(np.int32)
         self.at, self.tf, self.ids, self.labels = at, tf, ids, labels
         self.share = float(labels.mean()) if len(labels) else 0.0
 
     def weigh(self, df: np.ndarray, documents: int) -> None:
-        owner = np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
+        owner = np.repeat(np.arange(len(self.at) - 1, dtype=np.int32), np.diff(self.at))
         n = np.bincount(self.term, minlength=len(self.terms)).astype(float)
         t = np.bincount(self.term, self.labels[owner], len(self.terms)) if len(owner) else np.zeros(len(self.terms))
         self.weight = (np.log((1 + documents) / (1 + df)) + 1) * (1 + ratio(n, t, len(self.labels), int(self.labels.sum())))
         w = (1 + np.log(self.tf)) * self.weight[self.term]
-        norm = np.sqrt(np.bincount(owner, w * w, len(self.at) - 1))
-        self.index = BlockMaxIndex(self.at, self.term, w / norm[owner], len(self.terms))
+        w /= np.sqrt(np.bincount(owner, w * w, len(self.at) - 1))[owner]
+        del owner
+        self.index = BlockMaxIndex(self.at, self.term, w, len(self.terms))
         self.ids, self.labels = self.ids[self.index.order], self.labels[self.index.order]
         del self.at, self.term, self.tf, self.index.order  # what is shipped is the index
 
@@ -216,10 +253,8 @@ class Model:
 
     def queries(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(terms, unit weights) of each text."""
-        row, h, tf = _counted(texts, self.beginnings)
-        at = np.minimum(np.searchsorted(self.terms, h), max(0, len(self.terms) - 1))
-        own = self.terms[at] == h if len(self.terms) else np.zeros(len(h), bool)
-        row, at, w = row[own], at[own], (1 + np.log(tf[own])) * (self.weight[at[own]] if len(self.terms) else 1.0)
+        row, at, tf = _known(texts, self.terms, self.beginnings)
+        w = (1 + np.log(tf)) * self.weight[at] if len(self.terms) else np.zeros(0)
         bounds = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             yield at[lo:hi], w[lo:hi] / np.sqrt(w[lo:hi] @ w[lo:hi]) if hi > lo else w[lo:hi]
