@@ -58,7 +58,7 @@ GROUP, ROUNDS, BATCH, STEP = 1 << 18, 4, 256, 0.1
 FAN_IN = 32
 _BLOCK = 2048
 #: Windows that a task holds before it passes them on.
-_HELD = 2 << 20
+_HELD = 1 << 20
 
 
 @dataclass
@@ -220,13 +220,14 @@ def _windows(network: Network):
         for batch in batches:
             for lo, hi in parts(batch.column(0)):
                 found = network.read(batch.column(0).slice(lo, hi - lo))
-                held.append(np.unique(found.contexts() * network.size + found.targets(), return_counts=True))
+                windows, n = np.unique(found.contexts() * network.size + found.targets(), return_counts=True)
+                held.append((windows, n.astype(np.int32)))
                 if sum(len(x) for x, _ in held) > 2 * _HELD:
                     held = [merged()]
                     if len(held[0][0]) > _HELD:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["w", "n"])
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held.pop()], names=["w", "n"])
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["w", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged()], names=["w", "n"])
 
     return run
 
