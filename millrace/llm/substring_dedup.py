@@ -30,6 +30,7 @@ gives an empty one; extra columns are untouched.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,30 +149,34 @@ def chains(xs: list[int], ys: list[int], k: int = K, max_gap: int = MAX_GAP, cos
 
     A chain's value at a point is k plus the best value of a point lower left,
     less the cost of the words skipped in both; adding cost * (x + y) to the
-    values makes that a prefix maximum.  A predecessor beyond ``max_gap`` or
-    worth less than nothing starts a chain.
+    values makes that a prefix maximum.  Where the maximum lies beyond ``max_gap``
+    in x or y, the points within it are compared one by one: a place of a text has
+    one seed, so they are ``max_gap`` at most.
     """
     order = sorted(range(len(xs)), key=lambda i: (xs[i], ys[i]))
     rank = {y: i + 1 for i, y in enumerate(sorted(set(ys)))}
     tree = Fenwick(len(rank))
     back: dict[int, int] = {}
     value: dict[int, float] = {}
-    group: list[int] = []
+    near: deque[int] = deque()  # points before x, within max_gap
+    same: list[int] = []  # points at x
     for n, i in enumerate(order):
         x, y = xs[i], ys[i]
         score, j = tree.upto(rank[y] - 1)
         gain = score - cost * (x + y) if j >= 0 else -1.0
-        value[i] = k
-        if j >= 0 and gain > 0 and x - xs[j] <= max_gap and y - ys[j] <= max_gap:
-            value[i], back[i] = k + gain, j
-        elif group_near := [g for g in reversed(group[-4:]) if 0 < x - xs[g] <= max_gap and 0 < y - ys[g] <= max_gap]:
-            j = group_near[0]  # the maximum lies too far off; a close point still continues
-            value[i], back[i] = k + max(0.0, value[j] - cost * (x - xs[j] + y - ys[j])), j
-        group.append(i)
+        while near and x - xs[near[0]] > max_gap:
+            near.popleft()
+        if gain > 0 and (x - xs[j] > max_gap or y - ys[j] > max_gap):
+            gain, j = max(((value[g] - cost * (x - xs[g] + y - ys[g]), g) for g in near if 0 < y - ys[g] <= max_gap), default=(-1.0, -1))
+        value[i] = k + max(0.0, gain)
+        if gain > 0:
+            back[i] = j
+        same.append(i)
         if n + 1 == len(order) or xs[order[n + 1]] != x:
-            for g in [g for g in group if xs[g] == x]:
+            for g in same:
                 tree.put(rank[ys[g]], (value[g] + cost * (xs[g] + ys[g]), g))
-            group = group[-8:]
+            near.extend(same)
+            same = []
     out, used = [], set()
     for i in sorted(order, key=lambda i: -value[i]):
         chain = []
@@ -398,8 +403,8 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     a = slices.select(F.col("id").alias("_a"), F.col("lo").alias("_alo"), F.col("hi").alias("_ahi"), F.col("words").alias("awords"))
     b = slices.select(F.col("id").alias("_b"), F.col("lo").alias("_blo"), F.col("hi").alias("_bhi"), F.col("words").alias("bwords"))
     both = found.select("doc", "other", "anchors", "lo", "hi", "olo", "ohi")
-    both = both.join(a, (F.col("doc") == F.col("_a")) & (F.col("lo") == F.col("_alo")) & (F.col("hi") == F.col("_ahi")))
-    both = both.join(b, (F.col("other") == F.col("_b")) & (F.col("olo") == F.col("_blo")) & (F.col("ohi") == F.col("_bhi")))
+    both = both.join(a.hint("merge"), (F.col("doc") == F.col("_a")) & (F.col("lo") == F.col("_alo")) & (F.col("hi") == F.col("_ahi")))
+    both = both.join(b.hint("merge"), (F.col("other") == F.col("_b")) & (F.col("olo") == F.col("_blo")) & (F.col("ohi") == F.col("_bhi")))
     both = both.select("doc", "other", "anchors", "lo", "awords", "olo", "bwords")
     schema = f"doc {kind}, other {kind}, first int, last int, matches int"
     spans = both.mapInArrow(_aligned, schema).groupBy("doc").agg(F.collect_set(F.struct("other", "first", "last", "matches")).alias("s"))

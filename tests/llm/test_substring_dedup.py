@@ -118,3 +118,20 @@ def test_longest_parts_of_a_chain():
     anchors = [(0, 0), (32, 32), (52, 52), (84, 84), (122, 122)]
     assert S.align(a, b, anchors) is None
     assert S.pieces(a, b, anchors) == [(0, 92, 80)]
+
+
+def test_chains_are_the_best_there_are():
+    """Against a program that looks at all pairs of points."""
+    rng = random.Random(8)
+    for turn in range(200):
+        n = rng.randint(1, 40)
+        xs = rng.sample(range(300), n)
+        ys = [min(299, max(0, x + rng.choice([0, 0, 0, 5, -40, 90, -100]))) if turn % 2 else rng.randrange(300) for x in xs]
+        best = {}
+        for i in sorted(range(n), key=lambda i: xs[i]):
+            ways = [best[j] - S.GAP_COST * (xs[i] - xs[j] + ys[i] - ys[j]) for j in best if 0 < xs[i] - xs[j] <= S.MAX_GAP and 0 < ys[i] - ys[j] <= S.MAX_GAP]
+            best[i] = S.K + max([0.0, *ways])
+        found = S.chains(xs, ys)
+        worth = lambda c: S.K * len(c) - S.GAP_COST * sum(xs[b] - xs[a] + ys[b] - ys[a] for a, b in zip(c, c[1:]))  # noqa: B905, E731
+        assert sorted(i for c in found for i in c) == list(range(n))
+        assert abs(max(worth(c) for c in found) - max(best.values())) < 1e-9
