@@ -263,8 +263,9 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     texts = keep(named.groupBy("key").agg(F.first("text").alias("text")), "texts")
     found = _linked(buckets, texts, k, least)
     label = found.select(F.col("u").alias("_u"), F.col("v").alias("_low"))
-    rows = sketch.select("id", "key").join(label, F.col("key") == F.col("_u"), "left").select("id", "key", F.coalesce("_low", "key").alias("class"))
-    names = rows.groupBy(F.col("class").alias("_class")).agg(F.min("id").alias("class_id"))
+    rows = keep(sketch.select("id", "key").join(label.hint("merge"), F.col("key") == F.col("_u"), "left").select("id", "key", F.coalesce("_low", "key").alias("class")), "classed")
+    # written, so that the join below deals both sides and can split a hot class
+    names = keep(rows.groupBy(F.col("class").alias("_class")).agg(F.min("id").alias("class_id")), "names")
     return rows.join(names.hint("merge"), F.col("class") == F.col("_class")).select(F.col("id").alias("doc_id"), "key", "class", "class_id")
 
 

@@ -58,6 +58,13 @@ def since(marked: int) -> list[str]:
     return _written[marked:]
 
 
+def tidy(out: DataFrame, marked: int) -> DataFrame:
+    """``out``, after deleting what ``keep`` wrote since a mark and ``out`` doesn't read."""
+    read = "\n".join(out.inputFiles())
+    drop(out.sparkSession, [path for path in since(marked) if f"/{path.rsplit('/', 1)[1]}/" not in read])
+    return out
+
+
 def drop(spark: SparkSession, paths: list[str]) -> None:
     """Delete kept tables; only for callers whose results are written elsewhere."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
