@@ -128,3 +128,24 @@ def test_stream(spark, tmp_path):
         query.awaitTermination(120)
     got = {r.ord: r.disposition for r in spark.read.parquet(f"{tmp_path}/state").collect()}
     assert got == _brute(rows, 20, 100, "strict", set())
+
+
+def test_strict_hamming_inside_a_batch(spark, tmp_path):
+    rows = [list(r) for r in _rows(4)]
+    for i, r in enumerate(rows):
+        r[2], r[5], r[6], r[7], r[8] = f"p{i}", True, f"s{i}", f"d{i}", 7 ^ (1 << i if i < 3 else (1 << 40) - 1)
+        r[10:] = ["image/jpeg", "", 20000, "jpeg", 800, 600, 99.0]
+    df, known = spark.createDataFrame([tuple(r) for r in rows], SCHEMA), spark.createDataFrame([], "sha1 string")
+    out = batches.run(spark, df, known, limits=batches.Limits(batch_size=4), mode="strict", near="hamming", state=f"file://{tmp_path}/s")
+    assert [r.disposition for r in out.orderBy("ord").collect()] == ["accepted", "near_duplicate", "near_duplicate", "accepted"]
+
+
+def test_stream_in_parts(spark, tmp_path):
+    """A micro-batch that is too long for one task is judged in parts, in order."""
+    rows = _rows(40, 6)
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in")
+    known = spark.createDataFrame([], "sha1 string")
+    curate(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in"), known, f"file://{tmp_path}/state", f"{tmp_path}/check", target=100, rows=15).awaitTermination(120)
+    found = spark.read.parquet(f"{tmp_path}/state")
+    assert found.select("part").distinct().count() == 3
+    assert {r.ord: r.disposition for r in found.collect()} == _brute(rows, 40, 100, "strict", set())
