@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.ranks import ranked
+from millrace.llm.ranks import ranked, salted
 from millrace.llm.scratch import keep
 
 CAPACITY = 2048
@@ -316,12 +316,12 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces with sequence_id and offset.  ``cut``: a written table of pieces."""
+    """Pieces with sequence_id and offset.  ``cut``: a written table of salted pieces."""
     spark = cut.sparkSession
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
     runs, _ = plan(histogram, capacity)
     table = spark.createDataFrame(runs, "_length bigint, _from bigint, _to bigint, _first bigint, _each bigint")
-    placed = ranked(cut, "length", ["doc_id", "piece", "ids_crc32"], "_rank").join(
+    placed = ranked(cut, "length", ["doc_id", "piece", "ids_crc32", "_salt"], "_rank").join(
         F.broadcast(table),  # bounded by lengths and configurations, not by pieces
         (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")),
     )
@@ -333,7 +333,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage, the last: the packed pieces of all documents."""
-    return pack(keep(pieces(docs, "byte_bpe_50k.json"), "pieces"))
+    return pack(keep(salted(pieces(docs, "byte_bpe_50k.json")), "pieces"))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

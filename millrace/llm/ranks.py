@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 PARTS = 256
 
 
+def salted(df: DataFrame) -> DataFrame:
+    """``df`` with ``_salt``, by which rows that are equal otherwise are told apart.
+
+    To be written before it is ranked: only in a written table is it the same
+    each time it is read.
+    """
+    return df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)).cast("int"))
+
+
 def ranked(df: DataFrame, cls: str, ids: list[str], rank: str) -> DataFrame:
     """``df`` with ``rank``, 0 upwards without gaps among rows of equal ``cls``.
 
     Rows are dealt by a hash of ``ids``; the parts' sizes, summed in order,
-    give each part its offset, and only a part is ever sorted as a whole.
+    give each part its offset, and only a part is ever sorted as a whole.  Rows
+    that may be repeated need a ``salted`` table and its column among ``ids``.
     """
     dealt = df.withColumn("_part", F.pmod(F.xxhash64(*ids), F.lit(PARTS)).cast("int"))
     sizes = dealt.groupBy(cls, "_part").agg(F.count(F.lit(1)).alias("_size"))

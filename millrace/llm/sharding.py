@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.ranks import coarse, ranked
+from millrace.llm.ranks import coarse, ranked, salted
 from millrace.llm.scratch import keep
 
 #: Leading bits of a group's size that the packing sees.
@@ -169,5 +169,5 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """40 shards of near equal bytes; equal texts stay together."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     small = shard(docs, shards=40).select("row.doc_id", "size", "text_crc32", "shard")
-    placed = ranked(keep(small, "shard-rows"), "shard", ["doc_id", "text_crc32", "size"], "slot")
+    placed = ranked(keep(salted(small), "shard-rows"), "shard", ["doc_id", "text_crc32", "size", "_salt"], "slot")
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

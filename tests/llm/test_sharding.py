@@ -87,3 +87,16 @@ def test_ranks(spark):
     sizes = [1, 5, 4095, 16383, 16384, 16385, 99999, 10**9 + 1, 2**40 + 1]
     got = [r[0] for r in spark.createDataFrame([(s,) for s in sizes], "s long").select(coarse(F.col("s"), 14)).collect()]
     assert all(s <= g <= s * (1 + 1 / 8192) + 1 for s, g in zip(sizes, got, strict=True)) and got[:4] == sizes[:4]
+
+
+def test_repeated_rows_are_dealt_over_parts(spark, make):
+    """A row that is repeated exactly doesn't land in one part, and ranks have no gaps."""
+    from pyspark.sql import functions as F
+
+    from millrace.llm import ranks
+    from millrace.llm.scratch import keep
+
+    rows = keep(ranks.salted(spark.range(4000).select(F.lit(1).alias("cls"), F.lit(7).alias("id"))), "salted")
+    got = ranks.ranked(rows, "cls", ["id", "_salt"], "rank").collect()
+    assert sorted(r["rank"] for r in got) == list(range(4000))
+    assert rows.select(F.pmod(F.xxhash64("id", "_salt"), F.lit(ranks.PARTS)).alias("p")).distinct().count() > ranks.PARTS // 2
