@@ -162,10 +162,11 @@ class BlockMaxIndex:
         # alike ones in a block: by their commonest term, which tells the language, then by the heaviest
         spread = np.bincount(terms, minlength=n_terms)
         common, heaviest = np.full(size, -1), np.full(size, -1)
+        some = np.flatnonzero(np.diff(at))
         for key, out in ((spread[terms], common), (weights, heaviest)):
-            order = np.lexsort((key, owner))
-            last = np.flatnonzero(np.append(owner[order][1:] != owner[order][:-1], True)) if len(owner) else np.zeros(0, int)
-            out[owner[order][last]] = terms[order][last]
+            if len(some):
+                top = np.flatnonzero(key == np.repeat(np.maximum.reduceat(key, at[some]), np.diff(at)[some]))
+                out[owner[top[::-1]]] = terms[top[::-1]]  # of equal ones the first
         self.order = np.lexsort((np.arange(size), heaviest, common))
         place = np.empty(size, np.int32)
         place[self.order] = np.arange(size)
