@@ -1,8 +1,8 @@
 """Image functions.  Geometry, formats and hashes are built-ins; pixels need Arrow UDFs.
 
 Pictures are decoded by the imaging library where it is installed, else by own
-readers of PNG (8 bits, not interlaced) and BMP (24 or 32 bits).  What can't be
-read has hash "", sharpness 0.0 and no size, as the filters expect.
+readers of PNG (8 bits, not interlaced), BMP (24 or 32 bits) and baseline JPEG.  What
+can't be read has hash "", sharpness 0.0 and no size, as the filters expect.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions import jpeg
+
 FORMATS = ("jpeg", "png", "webp", "bmp")
 
 
@@ -138,7 +140,7 @@ def decode(data: bytes | None) -> np.ndarray | None:
         try:
             from PIL import Image
         except ImportError:
-            return _png(data) if data[:4] == b"\x89PNG" else _bmp(data) if data[:2] == b"BM" else None
+            return _png(data) if data[:4] == b"\x89PNG" else _bmp(data) if data[:2] == b"BM" else jpeg.decode(data) if data[:3] == b"\xff\xd8\xff" else None
         picture = Image.open(io.BytesIO(data))
         return np.asarray((picture.convert("RGBA") if picture.mode == "P" and "transparency" in picture.info else picture).convert("RGB"))
     except Exception:

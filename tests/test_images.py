@@ -1,3 +1,4 @@
+import pytest
 import hashlib
 import random
 import struct
@@ -76,3 +77,36 @@ def test_near_pairs_equal_brute_force(spark):
     got = {(r.l_id, r.r_id, r.distance) for r in dedup.near_pairs(a, b, "id", "id").collect()}
     want = {(i, j, (x ^ y).bit_count()) for i, x in enumerate(base) for j, y in enumerate(other) if (x ^ y).bit_count() <= 4}
     assert got == want and want
+
+
+@pytest.mark.parametrize("kind", ["colour", "grey", "small", "noise"])
+def test_jpeg_equals_the_jvm(spark, kind):
+    """Pictures written and read by the JVM, against the own reader."""
+    jvm = spark.sparkContext._jvm
+    w, h = (5, 3) if kind == "small" else (61, 45)
+    rng = np.random.default_rng(3)
+    y, x = np.mgrid[0:h, 0:w]
+    pixels = np.stack([x * 4 % 256, y * 5 % 256, (x + y) * 2 % 256], axis=2)
+    if kind == "noise":
+        pixels = rng.integers(0, 256, (h, w, 1)).repeat(3, axis=2)
+    image = jvm.java.awt.image.BufferedImage(w, h, 10 if kind == "grey" else 1)
+    for j in range(h):
+        for i in range(w):
+            r, g, b = (int(v) for v in (pixels[j, i] if kind != "grey" else [pixels[j, i, 0]] * 3))
+            if kind == "grey":
+                image.getRaster().setSample(i, j, 0, r)
+            else:
+                image.setRGB(i, j, (255 << 24 | r << 16 | g << 8 | b) - (1 << 32))
+    out = jvm.java.io.ByteArrayOutputStream()
+    assert jvm.javax.imageio.ImageIO.write(image, "jpg", out)
+    data = bytes(out.toByteArray())
+    back = jvm.javax.imageio.ImageIO.read(jvm.java.io.ByteArrayInputStream(bytearray(data)))
+    want = np.array([[[(v >> s) & 255 for s in (16, 8, 0)] for v in (back.getRGB(i, j) for i in range(w))] for j in range(h)])
+    if kind == "grey":  # as stored, not as a screen shows it
+        want = np.array([[[back.getRaster().getSample(i, j, 0)] * 3 for i in range(w)] for j in range(h)])
+    got = images.decode(data)
+    assert got.shape == (h, w, 3)
+    off = np.abs(got.astype(int) - want)
+    assert off.mean() < (4 if kind != "grey" else 1) and np.abs(images.grey(got) - images.grey(want.astype(np.uint8))).mean() < 3
+    assert images.decode(data[: len(data) // 2]) is None or images.decode(data[: len(data) // 2]).shape == (h, w, 3)
+    assert images.decode(data[:2] + b"\xff\xc2" + data[4:]) is None
