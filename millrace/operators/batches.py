@@ -1,6 +1,7 @@
 """The batch loop with keyed state: content hashes, near hashes and page counts.
 
-Every batch is judged against what earlier batches accepted.  ``snapshot`` is
+Every batch is judged against what earlier batches accepted; candidates whose URL was
+accepted or failed in one are left out.  ``snapshot`` is
 the loop's own rule: rows of one batch don't see each other, so copies inside a
 batch all pass and a page may exceed its cap inside one.  ``strict`` also holds
 rows of a batch against each other, in order.  State is written per batch under
@@ -135,7 +136,10 @@ def run(spark: SparkSession, candidates: DataFrame, known_sha1: DataFrame, t: ca
             break
         batch = candidates.filter(F.col("batch") == number).drop("batch")
         if done:
-            accepted = spark.read.parquet(state).filter((F.col("disposition") == cascade.ACCEPTED) & (F.col("batch") < number))
+            earlier = spark.read.parquet(state).filter(F.col("batch") < number)
+            accepted = earlier.filter(F.col("disposition") == cascade.ACCEPTED)
+            # a picture that another source also has isn't tried again
+            batch = dedup.pending(batch, accepted, earlier.filter(F.col("disposition").startswith("download_failed")))
         else:
             accepted = batch.filter("false")
         remaining = limits.target - (accepted.count() if done else 0)

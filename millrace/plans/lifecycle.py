@@ -7,14 +7,15 @@ read from the picture.
 
 from __future__ import annotations
 
+import functools
 import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import images, text
-from millrace.operators import batches, cascade, dedup, select
+from millrace.functions import images, text, urls
+from millrace.operators import batches, cascade, dedup, extract, select
 from millrace.plans import report as reports
 from millrace.sources import readers, writers
 from millrace.sources.shared import written
@@ -37,6 +38,26 @@ class Config:
     page_rule: bool = True
 
 
+def discover(spark: SparkSession, searches: dict[str, tuple[DataFrame, str | None]], directories: dict[str, tuple[DataFrame, DataFrame]], api: tuple[DataFrame, DataFrame] | None = None, cache: DataFrame | None = None, per_source: int = 10_000) -> DataFrame:
+    """Candidates of landed answers, after those that the cache has.
+
+    searches: by source, answer pages (html) and the domain that results must have,
+    or None; directories: by site, landed pages (url, html) and the roots of its crawl
+    (url); api: answers (body) of the title search and of the picture lookup.
+    """
+    columns = ["source", "page_url", "image_url", "source_id", "title", "has_hull_in_title", "ord"]
+    found = [extract.search_candidates(extract.search_results(pages), source, domain) for source, (pages, domain) in searches.items()]
+    found += [extract.crawl(pages, roots, site) for site, (pages, roots) in directories.items()]
+    if api:
+        rows = extract.lookup(extract.api_titles(api[0]), extract.api_pictures(api[1]))
+        title, image = text.clean_title(F.col("title")), F.col("image_url")
+        found.append(rows.select(F.lit("wikimedia").alias("source"), F.lit("").alias("page_url"), image, urls.source_id(image).alias("source_id"), title.alias("title"), (text.title_has_hull(title) | text.has_strict_hull(image)).alias("has_hull_in_title"), "ord"))
+    every = functools.reduce(DataFrame.unionByName, [f.select(*columns) for f in found])
+    some = select.cap(every, ["source"], [F.col("ord"), F.col("page_url"), F.col("image_url")], per_source)
+    none = spark.createDataFrame([], some.schema)
+    return dedup.merge_new(none if cache is None else cache, some, ["ord", "page_url"]).drop("ord")
+
+
 def describe(landed: DataFrame) -> DataFrame:
     """Descriptors of landed pictures, a row a URL: the first by its bytes' hash of several."""
     content = F.col("content")

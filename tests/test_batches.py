@@ -149,3 +149,13 @@ def test_stream_in_parts(spark, tmp_path):
     found = spark.read.parquet(f"{tmp_path}/state")
     assert found.select("part").distinct().count() == 3
     assert {r.ord: r.disposition for r in found.collect()} == _brute(rows, 40, 100, "strict", set())
+
+
+def test_urls_of_earlier_batches_are_not_tried_again(spark, tmp_path):
+    rows = [list(r) for r in _rows(6)]
+    for i, r in enumerate(rows):
+        r[2], r[3], r[5], r[6], r[7] = f"p{i}", f"http://h/{i % 2}.jpg", True, f"s{i}", ""
+        r[10:] = ["image/jpeg", "Timeout" if i % 2 else "", 20000, "jpeg", 800, 600, 99.0]
+    df, known = spark.createDataFrame([tuple(r) for r in rows], SCHEMA), spark.createDataFrame([], "sha1 string")
+    out = batches.run(spark, df, known, limits=batches.Limits(batch_size=2), state=f"file://{tmp_path}/s")
+    assert [(r.ord, r.disposition) for r in out.orderBy("ord").collect()] == [(1, "accepted"), (2, "download_failed_Timeout")]

@@ -2,6 +2,7 @@ import numpy as np
 
 from millrace.__main__ import main
 from millrace.functions import images
+from millrace.plans import lifecycle
 
 
 def _png(seed, w=520, h=360):
@@ -30,3 +31,17 @@ def test_run(spark, tmp_path):
     assert back.count() == n and set(back.select("hull_in_title").distinct().toPandas().hull_in_title) == {"True"}
     assert spark.read.parquet(f"{tmp_path}/out/split").count() == n
     assert main(args, spark).count(f"| accepted | {n} |") == 1  # resumed: nothing new
+
+
+def test_discovery(spark):
+    import html
+    import json
+
+    hit = lambda **x: f'<a m="{html.escape(json.dumps(x))}">'
+    search = spark.createDataFrame([(hit(murl="http://h/a.jpg", purl="http://p/1", t="DDG-51") + hit(murl="http://h/old.jpg", purl="http://p/2", t=""),)], "html string")
+    site = spark.createDataFrame([("http://s/index.htm", '<a href="pages/uss_1.htm">x</a>'), ("http://s/pages/uss_1.htm", '<title>One</title><img src="b.jpg">')], "url string, html string")
+    titles = spark.createDataFrame([('{"query":{"search":[{"title":"File:C.jpg"}]}}',)], "body string")
+    answers = spark.createDataFrame([('{"query":{"pages":{"1":{"title":"File:C.jpg","imageinfo":[{"url":"http://w/c.jpg","width":800,"height":600}]}}}}',)], "body string")
+    cache = spark.createDataFrame([("bing", "", "http://h/old.jpg", "i", "", False)], "source string, page_url string, image_url string, source_id string, title string, has_hull_in_title boolean")
+    got = lifecycle.discover(spark, {"bing": (search, None)}, {"navsource": (site, site.filter("url LIKE '%index.htm'").select("url"))}, (titles, answers), cache).collect()
+    assert sorted((r.source, r.image_url, r.title, r.has_hull_in_title) for r in got) == [("bing", "http://h/a.jpg", "DDG-51", True), ("bing", "http://h/old.jpg", "", False), ("navsource", "http://s/pages/b.jpg", "One", False), ("wikimedia", "http://w/c.jpg", "C", False)]
