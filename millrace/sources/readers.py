@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,13 +40,25 @@ def accepted(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(*(number(c, typed[c]) if c in typed else (F.col(c) == "True").alias(c) if c == "hull_in_title" else text.key(F.col(c)).alias(c) for c in rows.columns))
 
 
+_SCHEME = r"^[A-Za-z0-9+.\-]+:(//[^/]*)?"
+
+
+def _bare(path: str) -> str:
+    """A path without scheme and host, which listings write in several ways, and without a slash at its end."""
+    return re.sub(_SCHEME, "", path).rstrip("/")
+
+
+def _below(path: Column, folder: str) -> Column:
+    return F.regexp_replace(path, _SCHEME, "").startswith(_bare(folder) + "/")
+
+
 def history(spark: SparkSession, root: str, exclude: str | None = None) -> DataFrame:
     """Keys of all accepted tables below ``root`` but those below ``exclude``."""
     rows = spark.read.schema(ACCEPTED).option("header", True).option("multiLine", True).option("escape", '"').option("recursiveFileLookup", True).option("pathGlobFilter", "accepted*.csv").csv(root)
     file = F.col("_metadata.file_path")
     rows = rows.filter(F.element_at(F.split(file, "/"), -1).isin(*ACCEPTED_NAMES))
     if exclude:
-        rows = rows.filter(~file.contains(exclude.rstrip("/") + "/"))
+        rows = rows.filter(~_below(file, exclude))
     return history_keys(rows)
 
 
@@ -59,11 +71,10 @@ def history_keys(rows: DataFrame) -> DataFrame:
 def picture_hashes(spark: SparkSession, root: str, exclude: str | None = None) -> DataFrame:
     """SHA-1 of the jpg and png files in the known folders one level below ``root``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{jpg,png}").load(root)
-    scheme = r"^[A-Za-z0-9+.\-]+:(//[^/]*)?"
-    pattern = "^" + re.escape(re.sub(scheme, "", root.rstrip("/"))) + "/[^/]+/(?:" + "|".join(PICTURE_FOLDERS) + ")/[^/]+$"
-    files = files.filter(F.regexp_replace("path", scheme, "").rlike(pattern))
+    pattern = "^" + re.escape(_bare(root)) + "/[^/]+/(?:" + "|".join(PICTURE_FOLDERS) + ")/[^/]+$"
+    files = files.filter(F.regexp_replace("path", _SCHEME, "").rlike(pattern))
     if exclude:
-        files = files.filter(~F.col("path").contains(exclude.rstrip("/") + "/"))
+        files = files.filter(~_below(F.col("path"), exclude))
     return files.select("path", images.file_sha1(F.col("content")).alias("sha1"))
 
 
