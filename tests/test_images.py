@@ -79,6 +79,27 @@ def test_near_pairs_equal_brute_force(spark):
     assert got == want and want
 
 
+@pytest.mark.parametrize("most", [0, 1, 4, 7])
+def test_near_pairs_are_merged_and_found_once(spark, most):
+    """Small tables too: keys are many times the rows, and a broadcast gathers them on the driver."""
+    rng = random.Random(most)
+    base = [0, -1, 1 << 62, *(rng.getrandbits(64) - (1 << 63) for _ in range(60))]
+    turn = lambda x, n: ((x & (1 << 64) - 1) ^ sum(1 << i for i in rng.sample(range(64), n)))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    other = [signed(turn(b, n)) for b in base for n in (0, 1, 2, 4, 5, 7, 8)]
+    a = spark.createDataFrame([*enumerate(base), (900, base[3]), (901, None)], "id long, bits long")
+    b = spark.createDataFrame([*enumerate(other), (901, None)], "id long, bits long")
+    pairs = dedup.near_pairs(a, b, "id", "id", most=most)
+    got = sorted(tuple(r) for r in pairs.collect())
+    holder = {}
+    for i, x in enumerate(other):
+        holder.setdefault(x, i)
+    far = lambda x, y: ((x ^ y) & (1 << 64) - 1).bit_count()
+    assert got == sorted((i, j, far(x, y)) for i, x in enumerate(base) for y, j in holder.items() if far(x, y) <= most)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 @pytest.mark.parametrize("kind", ["colour", "grey", "small", "noise"])
 def test_jpeg_equals_the_jvm(spark, kind):
     """Pictures written and read by the JVM, against the own reader."""
